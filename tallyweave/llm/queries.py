@@ -7,13 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import mixture, tokens, topn
+from tallyweave.llm import linkage, mixture, tokens, topn
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _parsed(spark: SparkSession, folder: str, *names: str) -> DataFrame:
+    return linkage.parsed({name: table(spark, folder, name) for name in names})
+
+
+def _beliefs(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = linkage.capacity(table(spark, folder, "train_matches"))
+    rows = _parsed(spark, folder, "train_source1", "train_source2", "train_source3")
+    return linkage.belief_matches(rows, "train_source1", ["train_source2", "train_source3"], sizes)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    likely = _beliefs(spark, folder).filter("probability >= 0.5")
+    return likely.select(F.col("l").alias("source1_entity_id"), F.col("r").alias("matched_entity_id"))
+
+
+def p2_probabilities(spark: SparkSession, folder: str) -> DataFrame:
+    return _beliefs(spark, folder).select(F.col("l").alias("source1_entity_id"), F.col("r").alias("candidate_entity_id"), "probability")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = linkage.same_address(_parsed(spark, folder, "train_source1", "train_source2"), "train_source1", "train_source2")
+    return pairs.select(F.col("l").alias("source1_entity_id"), F.col("r").alias("source2_entity_id"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = linkage.same_name(_parsed(spark, folder, "train_source1", "train_source2"), "train_source1", "train_source2")
+    return pairs.select(F.col("l").alias("source1_entity_id"), F.col("r").alias("source2_entity_id"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     best = topn.top_n(topn.scored_items(table(spark, folder, "candidate_pairs")), 10)
     return best.select(F.col("grp").alias("source1_entity_id"), F.col("item").alias("candidate_entity_id"))
@@ -32,7 +61,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+    return {"p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
 
 
 def oracle_sql() -> dict[str, str]:
