@@ -395,8 +395,8 @@ def edits(a: str, b: str, most: int = 4) -> int:
 
 def _typos(a: str, b: str) -> float:
     """Cost of reading ``a`` as a misspelt ``b`` by length: 0 equal, 1 and more for different words."""
-    d = edits(a, b)
-    return 0.0 if not d else min(1.5, d / max(1.0, 0.3 * max(len(a), len(b))))
+    d = edits(a, b, 5)
+    return 1.5 if d == 5 else min(1.5, d / max(1.0, 0.3 * max(len(a), len(b))))
 
 
 @lru_cache(maxsize=100_000)
