@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import linkage, mixture, tokens, topn
+from tallyweave.llm import canonical, linkage, mixture, tokens, topn
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Names of Source 1 and addresses of Source 3, as ids and texts."""
+    names = table(spark, folder, "train_source1").select(F.col("entity_id").alias("id"), F.col("business_name").alias("text"))
+    return names, table(spark, folder, "train_source3").select(F.col("entity_id").alias("id"), F.col("business_address").alias("text"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    names, addresses = map(canonical.lookalike_pairs, _texts(spark, folder))
+    return names.unionByName(addresses).select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
+
+
+def p1_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    names, addresses = map(canonical.spellings, _texts(spark, folder))
+    return names.unionByName(addresses)
+
+
 def _parsed(spark: SparkSession, folder: str, *names: str) -> DataFrame:
     return linkage.parsed({name: table(spark, folder, name) for name in names})
 
@@ -61,7 +77,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+    return {"p1_found": p1_found, "p1_spellings": p1_spellings, "p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
 
 
 def oracle_sql() -> dict[str, str]:
