@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import canonical, linkage, mixture, tokens, topn
+from tallyweave.llm import canonical, linkage, mixture, overlap, tokens, topn
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +64,21 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return best.select(F.col("grp").alias("source1_entity_id"), F.col("item").alias("candidate_entity_id"))
 
 
+SPLITS = {"source1": ("train_source1", "test_source1"), "source2": ("train_source2", "test_source2")}
+
+
+def _overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.overlaps(_parsed(spark, folder, *(t for pair in SPLITS.values() for t in pair)), SPLITS)
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _overlaps(spark, folder).select(F.col("train_id").alias("train_entity_id"), F.col("eval_id").alias("test_entity_id"))
+
+
+def p6_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.overlap_counts(_overlaps(spark, folder), SPLITS)
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents"))
 
@@ -77,7 +92,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_spellings": p1_spellings, "p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+    return {"p1_found": p1_found, "p1_spellings": p1_spellings, "p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_counts": p6_counts, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
 
 
 def oracle_sql() -> dict[str, str]:
