@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import canonical, linkage, mixture, overlap, tokens, topn
+from tallyweave.llm import canonical, linkage, mixture, overlap, spam, tokens, topn
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,8 +91,12 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.shares(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spam.stuffed_pages(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_spellings": p1_spellings, "p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_counts": p6_counts, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+    return {"p1_found": p1_found, "p1_spellings": p1_spellings, "p2_found": p2_found, "p2_probabilities": p2_probabilities, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_counts": p6_counts, "p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:
