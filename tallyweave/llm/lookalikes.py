@@ -53,12 +53,35 @@ def looks(ch: str) -> str:
     return ch
 
 
+class _Table(dict):
+    """Translation table whose entries are worked out when first met."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, code: int) -> str:
+        text = self.of(chr(code))
+        if len(self) < 65_536:
+            self[code] = text
+        return text
+
+
+def _bare(ch: str) -> str:
+    spread = unicodedata.normalize("NFKD", looks(ch)).lower()
+    kept = "".join(c for c in unicodedata.normalize("NFKD", spread) if not unicodedata.combining(c))
+    return kept.replace("ß", "ss").replace("œ", "oe").replace("æ", "ae").replace("ø", "o")
+
+
+_looks, _folds = _Table(looks), _Table(_bare)
+
+
 def by_table(text: str) -> str:
     """``text`` in consistent characters, composed, without blanks at its ends."""
-    if text.isascii():
-        return text.strip() if not re.search(r"[\t-\r\x1c-\x1f]", text) else re.sub(r"\s", " ", text).strip()
-    decomposed = unicodedata.normalize("NFD", "".join(map(looks, text)))
-    return unicodedata.normalize("NFC", "".join(map(looks, decomposed))).strip()
+    if text.isascii() and text.isprintable():
+        return text.strip()
+    decomposed = unicodedata.normalize("NFD", text.translate(_looks))
+    return unicodedata.normalize("NFC", decomposed.translate(_looks)).strip()
 
 
 def is_plain(token: str) -> bool:
@@ -68,7 +91,4 @@ def is_plain(token: str) -> bool:
 
 def fold(text: str) -> str:
     """Lower-case letters without accents: for comparing, not for display."""
-    if text.isascii():
-        return text.lower()
-    bare = unicodedata.normalize("NFKD", by_table(text)).lower()
-    return "".join(c for c in bare if not unicodedata.combining(c)).replace("ß", "ss").replace("œ", "oe").replace("æ", "ae").replace("ø", "o")
+    return text.lower() if text.isascii() else text.translate(_folds)

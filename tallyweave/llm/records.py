@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import xxhash
+
 from tallyweave.llm.lookalikes import fold
 
 # Placeholders that stand for a missing text.
@@ -174,33 +176,33 @@ _address_near = _near_index([*(w for w in _kinds if len(w) > 5), *(w for w in _o
 
 
 def _nearest(word: str, near: dict[str, list[str]]) -> str:
-    for d in (word, *deletions(word)):
-        for w in near.get(d, ()):
-            if within_one(word, w):
-                return w
-    return word
-
-
-@lru_cache(maxsize=200_000)
-def _name_word(word: str) -> str:
-    if word in _trade_of or word in _forms or word in _given_of or word in _prefix_of or len(word) < 5:
+    found = near.get(word)
+    if found is None:
+        for k in range(len(word)):
+            found = near.get(word[:k] + word[k + 1 :])
+            if found is not None:
+                for w in found:
+                    if within_one(word, w):
+                        return w
         return word
-    return _nearest(word, _name_near)
+    for w in found:
+        if within_one(word, w):
+            return w
+    return word
 
 
-@lru_cache(maxsize=200_000)
-def _address_word(word: str) -> str:
-    if word in _kinds or word in _other or word in _units or len(word) < 6:
-        return word
-    return _nearest(word, _address_near)
+_double = re.compile(r"(.)\1+")
+_letters = str.maketrans({"w": "v", "z": "j", "x": "ks", "q": "k", "c": "k"})
 
 
-@lru_cache(maxsize=400_000)
 def sound(word: str) -> str:
     """``word`` with the usual variants of spelling one sound made the same."""
-    for a, b in (("oo", "u"), ("ou", "u"), ("ee", "i"), ("aa", "a"), ("ph", "f"), ("w", "v"), ("z", "j"), ("x", "ks"), ("sh", "S"), ("ch", "C"), ("c", "k"), ("q", "k")):
-        word = word.replace(a, b)
-    return re.sub(r"(.)\1+", r"\1", word).lower()
+    if "oo" in word or "ee" in word or "aa" in word or "ou" in word:
+        word = word.replace("oo", "u").replace("ou", "u").replace("ee", "i").replace("aa", "a")
+    if "h" in word:
+        word = word.replace("ph", "f").replace("sh", "S").replace("ch", "C")
+    word = word.translate(_letters).lower()
+    return _double.sub(r"\1", word) if _double.search(word) else word
 
 
 def is_missing(text: str | None) -> bool:
@@ -210,42 +212,77 @@ def is_missing(text: str | None) -> bool:
 
 _initials = re.compile(r"\b([a-z])\.(?=[a-z]\b)")
 _name_split = re.compile(r"[a-z]+|\d+")
-_camel = re.compile(r"(?<=[a-z])(?=[A-Z][a-z]{2})")
-_ms = re.compile(r"^\W*m\s*/\s*s\b")
+_camel = re.compile(r"([a-z])([A-Z][a-z]{2})")
+_ms = re.compile(r"\W*m\s*/\s*s\b")
+
+# Kinds of words, found once for each distinct word of a worker.
+_OWN, _TRADE, _GIVEN, _FORM, _LETTER = range(5)
+_KIND, _UNIT, _LABEL, _DIRECTION, _OTHER, _PLACE = range(5, 11)
+
+
+@lru_cache(maxsize=400_000)
+def _name_word(word: str) -> tuple[int, int | str]:
+    for x in (word,) if len(word) < 5 else (word, _nearest(word, _name_near)):
+        if x in _trade_of:
+            return _TRADE, _trade_of[x]
+        if x in _prefix_of:
+            return _GIVEN, _prefix_of[x]
+        if x in _given_of:
+            return _GIVEN, _given_of[x]
+        if x in _forms:
+            return _FORM, x
+    return (_LETTER if len(word) == 1 else _OWN), sound(word)
+
+
+@lru_cache(maxsize=400_000)
+def _address_word(word: str) -> tuple[int, str, str]:
+    for x in (word,) if len(word) < 6 else (word, _nearest(word, _address_near)):
+        if x in _units:
+            return _UNIT, x, ""
+        if x in _labels:
+            return _LABEL, x, ""
+        if x in _kinds:
+            return _KIND, x, ""
+        if x in _directions:
+            return _DIRECTION, x, ""
+        if x in _other:
+            return _OTHER, x, _state_of.get(x, "")
+    return (_OTHER if len(word) < 3 else _PLACE), sound(word), ""
 
 
 def parse_name(text: str | None) -> tuple[list[str], int, int, int] | None:
     """``(words, trade, number, given)`` of a name; -1 for a part that is not there.
 
-    ``words`` are the folded own words in order, single letters included.
+    ``words`` are the own words in order, in sound form, single letters included
+    where they stand for a word.
     """
     if text is None:
         return None
-    if not text.isupper():
-        text = _camel.sub(" ", text)
+    if _camel.search(text):
+        text = _camel.sub(r"\1 \2", text)
     low = fold(text).strip()
     if low in PLACEHOLDERS or low.strip(".") in PLACEHOLDERS:
         return None
-    low = _ms.sub(" ", low).replace("'", "")
-    low = _initials.sub(r"\1", low)
+    if "/" in low:
+        low = _ms.sub(" ", low, count=1) if _ms.match(low) else low
+    if "." in low:
+        low = _initials.sub(r"\1", low)
+    if "'" in low:
+        low = low.replace("'", "")
     words, trade, number, given, shorts = [], -1, -1, -1, []
     for w in _name_split.findall(low):
-        if w.isdigit():
+        if w[0] <= "9":
             number = int(w[:9])
             continue
-        x = _name_word(w)
-        if x in _trade_of:
-            trade = _trade_of[x]
-        elif x in _prefix_of:
-            given = _prefix_of[x] if given < 0 else given
-        elif x in _given_of:
-            given = _given_of[x]
-        elif x in _forms:
-            continue
-        elif len(x) == 1:
-            shorts.append((len(words), x))
-        else:
+        kind, x = _name_word(w)
+        if kind == _OWN:
             words.append(x)
+        elif kind == _TRADE:
+            trade = x
+        elif kind == _GIVEN:
+            given = x if x < 100 or given < 0 else given
+        elif kind == _LETTER:
+            shorts.append((len(words), x))
     if len(words) < 2 and shorts:
         for at, x in shorts[::-1]:
             words.insert(at, x)
@@ -253,33 +290,63 @@ def parse_name(text: str | None) -> tuple[list[str], int, int, int] | None:
 
 
 _address_split = re.compile(r"[a-z]+|\d+[a-z]?\b|\d+|[,;/#()]|-")
-_pin_gap = re.compile(r"(?<!\d)(\d{3}) (\d{3})(?!\d)")
 _ordinal = re.compile(r"\b\d+\s?(?:st|nd|rd|th)\s+(?:floor|flr|fl)\b|\b(?:gr|ground)\s+(?:floor|flr|fl)\b")
 _apostrophe = re.compile(r"\b([ld])['’]")
 
 
+def _ordinal_hint(low: str) -> bool:
+    return "fl" in low
+
+
 def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str] | None:
-    """``(house, street words, town, postcode, unit, state)``; '' or [] for a part that is not there."""
+    """``(house, street words, town, postcode, unit, state)`` in sound form; '' or [] for a part that is not there."""
     if text is None:
         return None
     low = fold(text).strip()
     if low in PLACEHOLDERS or low.strip(".") in PLACEHOLDERS:
         return None
-    low = _initials.sub(r"\1", _apostrophe.sub(r"\1 ", low)).replace(".", " ").replace("sur-loue", "surloue")
-    low = _pin_gap.sub(r"\1\2", _ordinal.sub(",", low))
-    house = post = unit = state = ""
+    if "'" in low or "’" in low:
+        low = _apostrophe.sub(r"\1 ", low)
+    if "." in low:
+        low = _initials.sub(r"\1", low).replace(".", " ")
+    if "sur-loue" in low:
+        low = low.replace("sur-loue", "surloue")
+    if _ordinal_hint(low):
+        low = _ordinal.sub(",", low)
+    post = unit = state = ""
     runs: list[tuple[str, list[str], bool]] = []  # number before, words, whether a kind of street follows
     run: list[str] = []
-    before = number = ""
-    label, pending = "", False
+    before = number = label = ""
     tokens = _address_split.findall(low)
     for k, w in enumerate(tokens):
         first = w[0]
-        if first.isdigit():
+        if first >= "a":
+            kind, x, of = _address_word(w)
+            if kind == _PLACE:
+                if not run:
+                    before, number = number, ""
+                run.append(x)
+                label = ""
+                continue
             if run:
-                runs.append((before, run, False))
+                runs.append((before, run, kind == _KIND))
                 run = []
-            if len(w) in (5, 6) and w.isdigit():
+            if kind == _UNIT:
+                label = "unit"
+            elif kind == _LABEL:
+                if label != "unit":
+                    label = "label"
+            elif kind == _OTHER:
+                number = label = ""
+                state = of or state
+            continue
+        if run:
+            runs.append((before, run, False))
+            run = []
+        if "0" <= first <= "9":
+            if len(w) == 3 and number == tokens[k - 1] and len(number) == 3 and k and w.isdigit() and number.isdigit():
+                post, number, label = number + w, "", ""  # a postcode written in two groups
+            elif len(w) in (5, 6) and w.isdigit():
                 post, number, label = w, "", ""
             elif label == "unit":
                 unit, label, number = w, "", ""
@@ -289,60 +356,19 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
                 if number and not unit:
                     unit = number
                 number, label = w, ""
-            continue
-        if not first.isalpha():
-            if run:
-                runs.append((before, run, False))
-                run = []
-            if w == "#":
-                label = "#"
-            continue
-        x = _address_word(w)
-        if x in _units:
-            kind = "unit"
-        elif x in _labels:
-            kind = "label" if label != "unit" else "unit"
-        elif x in _kinds:
-            if run:
-                runs.append((before, run, True))
-                run = []
-            continue
-        elif x in _directions:
-            if run:
-                runs.append((before, run, False))
-                run = []
-            continue
-        elif x in _other or len(x) < 3:
-            if run:
-                runs.append((before, run, False))
-                run = []
-            number = "" if x in _other else number
-            state = _state_of.get(x, state)
-            label = ""
-            continue
-        else:
-            if not run:
-                before, number = number, ""
-            run.append(x)
-            label = ""
-            continue
-        if run:
-            runs.append((before, run, False))
-            run = []
-        label = kind
+        elif first == "#":
+            label = "#"
     if run:
         runs.append((before, run, False))
     if not runs:
         return number, [], "", post, unit, state
     # The street is the run after the house number, else one before a kind of street, else the first pair.
-    best = max(range(len(runs)), key=lambda k: (bool(runs[k][0]) * 2 + runs[k][2] + (len(runs[k][1]) > 1), -k))
+    best = max(range(len(runs)), key=lambda k: (bool(runs[k][0]) * 2 + runs[k][2] + (len(runs[k][1]) > 1), -k)) if len(runs) > 1 else 0
     before, street, kind = runs[best]
-    rest = [r for k, r in enumerate(runs) if k != best]
-    house = before
+    rest = runs[:best] + runs[best + 1 :]
     if not before and not kind and len(street) < 2 and not number:
         street, rest = [], runs  # a lone word is a town
-    if not house and number:
-        house = number
+    house = before or number
     town = rest[-1][1][-1] if rest else ""
     if not rest and len(street) > 2:
         street, town = street[:-1], street[-1]
@@ -360,7 +386,7 @@ def name_code(text: str | None) -> str:
     x = parse_name(text)
     if x is None or not x[0] and x[1] < 0 and x[2] < 0:
         return ""
-    return f"{' '.join(map(sound, x[0]))}|{x[1] if x[1] >= 0 else ''}|{x[2] if x[2] >= 0 else ''}|{x[3] if x[3] >= 0 else ''}"
+    return f"{' '.join(x[0])}|{x[1] if x[1] >= 0 else ''}|{x[2] if x[2] >= 0 else ''}|{x[3] if x[3] >= 0 else ''}"
 
 
 def address_code(text: str | None) -> str:
@@ -368,7 +394,15 @@ def address_code(text: str | None) -> str:
     x = parse_address(text)
     if x is None or not any(x):
         return ""
-    return f"{x[0]}|{' '.join(map(sound, x[1]))}|{sound(x[2])}|{x[3]}|{x[4]}|{x[5]}"
+    return f"{x[0]}|{' '.join(x[1])}|{x[2]}|{x[3]}|{x[4]}|{x[5]}"
+
+
+@lru_cache(maxsize=200_000)
+def _letters_of(word: str) -> int:
+    mask = 0
+    for ch in word:
+        mask |= 1 << (ord(ch) & 31)
+    return mask
 
 
 def edits(a: str, b: str, most: int = 4) -> int:
@@ -379,24 +413,29 @@ def edits(a: str, b: str, most: int = 4) -> int:
         return most
     if within_one(a, b):
         return 1
+    # An edit changes at most two letters of the difference between the sets of letters.
+    if most <= 2 or (_letters_of(a) ^ _letters_of(b)).bit_count() > 2 * (most - 1):
+        return most
     before, last = [], list(range(len(b) + 1))
     for i, x in enumerate(a):
         row = [i + 1]
         for j, y in enumerate(b):
-            d = min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1)
-            if i and j and x == b[j - 1] and a[i - 1] == y:
-                d = min(d, before[j - 1] + 1)
+            d = last[j] if x == y else 1 + min(last[j], last[j + 1], row[j])
+            if i and j and x == b[j - 1] and a[i - 1] == y and before[j - 1] + 1 < d:
+                d = before[j - 1] + 1
             row.append(d)
-        before, last = last, row
         if min(row) >= most:
             return most
+        before, last = last, row
     return min(most, last[-1])
 
 
-def _typos(a: str, b: str) -> float:
-    """Cost of reading ``a`` as a misspelt ``b`` by length: 0 equal, 1 and more for different words."""
-    d = edits(a, b, 5)
-    return 1.5 if d == 5 else min(1.5, d / max(1.0, 0.3 * max(len(a), len(b))))
+def _typos(a: str, b: str, reach: float = 1.45) -> float:
+    """Cost of reading ``a`` as a misspelt ``b`` by length: 0 equal, up to ``reach`` misspelt, 3 another word."""
+    unit = max(1.0, 0.3 * max(len(a), len(b)))
+    most = int(reach * unit) + 1
+    d = edits(a, b, most)
+    return 3.0 if d == most else d / unit
 
 
 @lru_cache(maxsize=100_000)
@@ -411,7 +450,7 @@ def words_cost(a: str, b: str) -> float:
     x, y = a.split(), b.split()
     if len(x) == 2 == len(y):
         straight, crossed = _pair_cost(x[0], y[0], x[1], y[1]), _pair_cost(x[0], y[1], x[1], y[0]) + 0.1
-        if min(straight, crossed) < 1:
+        if min(straight, crossed) < 1.5 or min(map(len, (*x, *y))) > 3:
             return min(straight, crossed)
     elif len(x) == 1 or len(y) == 1:
         short, long = (x, y) if len(x) == 1 else (y, x)
@@ -427,8 +466,17 @@ def words_cost(a: str, b: str) -> float:
 
 
 def _pair_cost(a: str, b: str, c: str, d: str) -> float:
-    one, two = _word_cost(a, b), _word_cost(c, d)
-    return one + two if max(one, two) < 1 else 2.0
+    if a == b and len(a) > 3 and min(len(c), len(d)) > 2:
+        two = 0.55 * _typos(c, d, 1.7)  # next to an equal word a bad misspelling is likelier
+        return two if two < 1 else 2.0
+    if c == d and len(c) > 3 and min(len(a), len(b)) > 2:
+        one = 0.55 * _typos(a, b, 1.7)
+        return one if one < 1 else 2.0
+    one = _word_cost(a, b)
+    if one >= 1:
+        return 2.0
+    two = _word_cost(c, d)
+    return one + two if two < 1 else 2.0
 
 
 def _word_cost(a: str, b: str) -> float:
@@ -494,3 +542,41 @@ def address_evidence(a: str, b: str) -> tuple[float, int] | None:
     if x[5] and y[5] and x[5] != y[5]:
         score -= 1.0
     return score, shared
+
+
+# Kinds of keys, so that equal texts of different kinds stay apart.
+_KEY_WORD, _KEY_OUTER, _KEY_HOUSE, _KEY_STREET, _KEY_PLACE = range(5)
+
+
+def _key(kind: int, text: str) -> int:
+    return xxhash.xxh64_intdigest(text, kind) - (1 << 63)
+
+
+def name_keys(n: str, outer: bool = True) -> list[int]:
+    """Keys of a name code: each word, and the outer letters of its joined words in both orders."""
+    words = [w for w in n.partition("|")[0].split() if len(w) > 2]
+    keys = [_key(_KEY_WORD, w) for w in words]
+    if outer and words:
+        turned = "".join(words[1:] + words[:1])
+        joined = "".join(words)
+        keys += {_key(_KEY_OUTER, joined[:3] + joined[-3:]), _key(_KEY_OUTER, turned[:3] + turned[-3:])}
+    return keys
+
+
+def address_keys(a: str, bare: bool = True) -> list[int]:
+    """Keys of an address code: the house with each word of the street; the bare street too, or only where the house is missing."""
+    if not a:
+        return []
+    house, street = split_code(a)[:2]
+    words = [w for w in street.split() if len(w) > 2]
+    keys = [_key(_KEY_HOUSE, f"{house} {w}") for w in words] if house else []
+    if words and (bare or not house):
+        keys.append(_key(_KEY_STREET, " ".join(sorted(words))))
+    return keys
+
+
+def place_tokens(a: str) -> list[int]:
+    """Tokens of an address code: the words of the street, the house with the town and with the postcode."""
+    house, street, town, post = split_code(a)[:4]
+    tokens = [_key(_KEY_WORD, w) for w in street.split() if len(w) > 2]
+    return tokens + [_key(_KEY_PLACE, f"{house} {x}") for x in (town, post) if house and x]
