@@ -30,13 +30,13 @@ def p1_spellings(spark: SparkSession, folder: str) -> DataFrame:
     return names.unionByName(addresses)
 
 
-def _parsed(spark: SparkSession, folder: str, *names: str) -> DataFrame:
-    return linkage.parsed({name: table(spark, folder, name) for name in names})
+def _parsed(spark: SparkSession, folder: str, *names: str, **options) -> DataFrame:
+    return linkage.parsed({name: table(spark, folder, name) for name in names}, **options)
 
 
 def _beliefs(spark: SparkSession, folder: str) -> DataFrame:
     sizes = linkage.capacity(table(spark, folder, "train_matches"))
-    rows = _parsed(spark, folder, "train_source1", "train_source2", "train_source3")
+    rows = _parsed(spark, folder, "train_source1", "train_source2", "train_source3", keys=linkage.belief_keys("train_source1"))
     return linkage.belief_matches(rows, "train_source1", ["train_source2", "train_source3"], sizes)
 
 
