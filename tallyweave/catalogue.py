@@ -222,7 +222,7 @@ def token_set_ratio_pairs(spark, folder):
 
 
 def jaro_winkler_pairs(spark, folder):
-    return attributed_pairs(spark, folder).select("s1_id", "cand_id", F.round(S.jaro_winkler_ratio("name_norm_1", "name_norm_2"), 6).alias("jaro_winkler"))
+    return attributed_pairs(spark, folder).select("s1_id", "cand_id", F.round(S.jaro_winkler_ratio(F.col("name_norm_1"), F.col("name_norm_2")), 6).alias("jaro_winkler"))
 
 
 def pair_feature_matrix(spark, folder):

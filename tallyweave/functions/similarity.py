@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,7 +12,6 @@ from tallyweave.functions import vocabulary as V
 from tallyweave.functions.text import tokens
 
 
-@F.pandas_udf("double")
 def _matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     seen: dict[tuple[str, str], float] = {}
     out = []
@@ -33,7 +31,7 @@ def sequence_ratio(a: Column, b: Column, equal_first: bool = True) -> Column:
     so ``a`` has to be the left text. Only pairs that need it visit Python.
     """
     open_ = (a != "") & (b != "") & (a != b) if equal_first else (a != "") & (b != "")
-    value = F.coalesce(_matching_ratio(F.when(open_, a), F.when(open_, b)), F.lit(0.0))
+    value = F.coalesce(F.pandas_udf(_matching_ratio, "double")(F.when(open_, a), F.when(open_, b)), F.lit(0.0))
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(value)
 
 
@@ -94,9 +92,12 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
 
 
 def variant_rewritten(a: Column, b: Column) -> Column:
-    """``b`` with the spelling variants it shares with ``a`` rewritten towards ``a``, one after another."""
-    step = lambda z, v: F.when(a.contains(v[0]) & z.contains(v[1]), F.replace(z, F.lit(v[1]), F.lit(v[0]))).otherwise(z)
-    return reduce(step, V.VARIANTS, b)
+    """``b`` with the spelling variants it shares with ``a`` rewritten towards ``a``, one after another.
+
+    A fold over the table: nested conditions would repeat themselves at every step.
+    """
+    table = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y, _ in V.VARIANTS))
+    return F.aggregate(table, b, lambda z, v: F.when(a.contains(v["x"]) & z.contains(v["y"]), F.replace(z, v["y"], v["x"])).otherwise(z))
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -123,6 +124,9 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
-def jaro_winkler_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+def _jaro_winkler_each(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else jaro_winkler(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+def jaro_winkler_ratio(a: Column, b: Column) -> Column:
+    return F.pandas_udf(_jaro_winkler_each, "double")(a, b)

@@ -21,14 +21,13 @@ def clean(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(c, rf"^{_SPACES}+|{_SPACES}+$", ""), F.lit(""))
 
 
-@F.pandas_udf("string")
 def _compatible(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t).lower() if t else t)
 
 
 def compatible_lower(c: Column) -> Column:
     """Lower case of the compatibility form. Pure ASCII stays in the JVM; only other texts visit Python."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _compatible(F.when(c.rlike(r"[^\x00-\x7F]"), c))).otherwise(F.lower(c))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.pandas_udf(_compatible, "string")(F.when(c.rlike(r"[^\x00-\x7F]"), c))).otherwise(F.lower(c))
 
 
 def words_only(c: Column) -> Column:

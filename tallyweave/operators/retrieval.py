@@ -111,7 +111,7 @@ def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, block
     sized = lambda d: d.withColumn("size", F.sqrt(total(F.col("embedding"), F.col("embedding")))).filter("size > 0")
     blocks = max(1, -(-queries.count() // block))
     asks = sized(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("size").alias("q_size"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
-    rows = sized(vectors).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    rows = sized(vectors).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     pairs = rows.join(asks, "block").filter(F.col("vec_id") != F.col("query_id"))
     scores = pairs.select(F.col("query_id"), "vec_id", F.round(total(F.col("q"), F.col("embedding")) / (F.col("q_size") * F.col("size")), 9).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -140,7 +140,7 @@ _WORD_GRAMS = f"list_concat({_LONG_WORDS}, list_transform(generate_series(1, len
 def _weights(name: str, terms: str, cap: int) -> str:
     return f"""
 {name}_tf as (select country_norm, side, entity_id, term, count(*) tf from (select country_norm, side, entity_id, unnest({terms}) term from reps) group by all),
-{name}_df as (select * from (select country_norm, term, count(*) df, sum(tf) total, row_number() over (partition by country_norm order by sum(tf) desc, term) k from {name}_tf group by all) where k <= {cap}),
+{name}_df as (select * from (select *, row_number() over (partition by country_norm order by total desc, term) k from (select country_norm, term, count(*) df, sum(tf) total from {name}_tf group by all)) where k <= {cap}),
 {name}_raw as (select country_norm, side, entity_id, term, df, (1 + ln(tf)) * (ln((1.0 + n) / (1.0 + df)) + 1) w from {name}_tf join {name}_df using (country_norm, term) join sizes using (country_norm)),
 {name} as (select *, w / sqrt(sum(w * w) over (partition by side, entity_id)) u from {name}_raw),
 {name}_hit as (select a.entity_id s1_id, b.entity_id cand_id, a.u * b.u p from {name} a join {name} b using (country_norm, term) where a.side = 1 and b.side = 2 and a.df <= 200)"""
