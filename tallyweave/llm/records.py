@@ -375,6 +375,7 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
     return house, street[:3], town, post, unit, state
 
 
+@lru_cache(maxsize=4_096)
 def country_code(text: str | None) -> str:
     """Short code of a country label; '' for none or a placeholder, an unknown label folded."""
     low = re.sub(r"[^a-z]", "", fold(text or ""))
