@@ -60,7 +60,6 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 7, slots: int
 def _schedule(sizes: DataFrame, targets: DataFrame, seed: int, slots: int) -> tuple[DataFrame, DataFrame]:
     spark = sizes.sparkSession
     total = sizes.agg(F.sum("n_tokens")).first()[0] or 0
-    block = max(1, -(-total // slots))
     plan = cut(plan_sources(sizes, targets, total).repartition(1), "plan")
 
     # A window over the few listed sources: their intervals of cumulated shares.
@@ -85,7 +84,7 @@ def _schedule(sizes: DataFrame, targets: DataFrame, seed: int, slots: int) -> tu
     starts = sums.select("source", "repeat", "bucket", before.alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("source", "repeat", "bucket").orderBy("order", "doc_id")) - F.col("n_tokens")
     placed = uses.withColumn("inside", inside).join(starts, ["source", "repeat", "bucket"])
-    placed = placed.select("source", "doc_id", "repeat", "n_tokens", F.floor((F.col("before") + F.col("inside")) / block).alias("rank"))
+    placed = placed.select("source", "doc_id", "repeat", "n_tokens", F.floor((F.col("before") + F.col("inside")) * slots / max(1, total)).alias("rank"))
     return placed.join(ranked, ["source", "rank"]).select("slot", "source", "doc_id", "repeat", "n_tokens"), plan
 
 
