@@ -35,7 +35,7 @@ def cut(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_cuts() -> None:
