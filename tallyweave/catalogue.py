@@ -58,8 +58,8 @@ def scored_pairs(spark, folder) -> DataFrame:
 
 
 def attributed_pairs(spark, folder) -> DataFrame:
-    left, right = _both(spark, folder)
-    return features.with_attributes(scored_pairs(spark, folder).select("s1_id", "cand_id"), left, right, features.ATTRIBUTES)
+    left, right = map(features.with_sets, _both(spark, folder))
+    return features.with_attributes(scored_pairs(spark, folder).select("s1_id", "cand_id"), left, right, (*features.ATTRIBUTES, *features.SETS))
 
 
 def _rounded(columns: dict) -> list:

@@ -84,11 +84,24 @@ def token_count_ratio(x: Column, y: Column) -> Column:
     return F.least(a, b).cast("double") / F.greatest(a, b)
 
 
+def hashed(items: Column) -> Column:
+    """Distinct 64-bit digests of an array of texts: sets that are cheap to move and to intersect."""
+    return F.array_distinct(F.transform(items, lambda x: F.xxhash64(x)))
+
+
+def set_jaccard(a: Column, b: Column) -> Column:
+    """Common over all members of two arrays without repeats; 0 if one is empty."""
+    common = F.size(F.array_intersect(a, b))
+    either = F.size(a) + F.size(b) - common
+    return F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0))
+
+
 def weighted_jaccard(a: Column, b: Column) -> Column:
-    """Weight of common over weight of all words of two arrays of ``struct(token, idf)``."""
+    """Weight of common over weight of all words of two arrays of ``struct(token, idf)`` without repeats."""
     total = lambda z: F.aggregate(z, F.lit(0.0), lambda s, t: s + t["idf"])
-    either = total(F.array_union(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0) | (either == 0), 0.0).otherwise(total(F.array_intersect(a, b)) / either)
+    common = total(F.array_intersect(a, b))
+    either = total(a) + total(b) - common
+    return F.when((F.size(a) == 0) | (F.size(b) == 0) | (either <= 0), 0.0).otherwise(common / either)
 
 
 def variant_rewritten(a: Column, b: Column) -> Column:

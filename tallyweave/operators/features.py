@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyweave.functions import similarity as S
+from tallyweave.functions.text import tokens
 from tallyweave.operators.idf import WordWeights
 
 ATTRIBUTES = ("name_norm", "name_core", "name_sorted", "core_sorted", "address_norm", "addr_token1", "pincode", "street_num", "legal_suffix", "country_norm", "has_pincode", "has_address", "has_landmark", "name_len", "name_ntoken")
@@ -70,14 +71,22 @@ def structured() -> dict[str, Column]:
     }
 
 
+#: Sets that are made once for each record and compared for each pair.
+SETS = ("name_norm_words", "name_core_words", "address_norm_words", "name_norm_grams", "address_norm_grams")
+
+
+def with_sets(records: DataFrame) -> DataFrame:
+    """Records with the :data:`SETS` of words and character 3-grams of their texts, as digests."""
+    texts = ("name_norm", "name_core", "address_norm")
+    words = {f"{c}_words": S.hashed(tokens(F.col(c))) for c in texts}
+    return records.withColumns({**words, **{f"{c}_grams": S.hashed(S.char_ngrams(F.col(c))) for c in texts if c != "name_core"}})
+
+
 def set_similarities() -> dict[str, Column]:
-    """Features of pairs that need no Python: sets of words and grams, lengths."""
+    """Features of pairs that need no Python: :data:`SETS` of words and grams, lengths."""
+    sets = {"name_set": "name_norm_words", "core_set": "name_core_words", "addr_set": "address_norm_words", "name_char3": "name_norm_grams", "addr_char3": "address_norm_grams"}
     return {
-        "name_set": S.token_jaccard(*_two("name_norm")),
-        "core_set": S.token_jaccard(*_two("name_core")),
-        "addr_set": S.token_jaccard(*_two("address_norm")),
-        "name_char3": S.char_jaccard(*_two("name_norm")),
-        "addr_char3": S.char_jaccard(*_two("address_norm")),
+        **{feature: S.set_jaccard(*_two(c)) for feature, c in sets.items()},
         "name_len_ratio": S.length_ratio(*_two("name_norm")),
         "core_len_ratio": S.length_ratio(*_two("name_core")),
         "name_ntoken_ratio": S.token_count_ratio(*_two("name_ntoken")),
@@ -162,8 +171,8 @@ def feature_matrix(pairs: DataFrame, left: DataFrame, right: DataFrame, weights:
     Pairs with an unknown record are left out; no pairs give an empty result.
     """
     keep = [c for c in pairs.columns if c not in ("s1_id", "cand_id")]
-    columns = (*ATTRIBUTES, *(f"{c}_weights" for c in WEIGHTED))
-    df = with_attributes(pairs, weights.attach(left, WEIGHTED), weights.attach(right, WEIGHTED), columns)
+    columns = (*ATTRIBUTES, *SETS, *(f"{c}_weights" for c in WEIGHTED))
+    df = with_attributes(pairs, with_sets(weights.attach(left, WEIGHTED)), with_sets(weights.attach(right, WEIGHTED)), columns)
     df = df.withColumns({**structured(), **set_similarities(), **weighted_similarities(), **sequence_similarities()})
     india = (F.col("country_norm_1") == "INDIA") | (F.col("country_norm_2") == "INDIA")
     df = df.withColumns({"core_sorted_sim": F.col("core_sort"), "translit_sim": F.when(india, F.col("variant_sim")).otherwise(F.col("core_lev")), **interactions()})
