@@ -60,7 +60,9 @@ _prefixes = tuple(sorted((k for k in _keywords if len(k) > 3 or k in ("buy", "mo
 _phrase = re.compile(r"\b(?:" + "|".join(_phrases) + r")\b")
 _url = re.compile(r"(?:https?|ftp|rsync)\s?[:：]\s?//[^\s\"'<>\])|]+", re.I)
 _bare_host = re.compile(r"\b(?:[a-z0-9-]+\.)+(?:invalid|example|test|com|net|org|info|biz|shop|online|ru|de|fr|es)\b(?:/\S*)?")
+_arrow_host = re.compile(r">>\s*((?:[a-z0-9-]+\.)+[a-z]{3,}\S*)")
 _hash_tag = re.compile(r"#([a-z][\w-]{3,})")
+_tag_label = re.compile(r"^\W*[a-z0-9]+\s?:\s")
 _span_tag = re.compile(r"<span class=\"?tag\"?>([^<]*)</span>")
 _content = re.compile(r"<meta[^>]*content=\"([^\"]*)\"?[^>]*>?|<[^>]*>")
 _own_use = re.compile(r"<loc>|\"resolved\"|\"integrity\"|\[!\[|\[[ x]\]|\(#\d+\)|\[#\d+\]|(?:ftp|rsync)://|refs?/|badge")
@@ -74,13 +76,13 @@ _numbered = re.compile(r"\(\d+\)")
 _bare_list = re.compile(r"[a-z ,|.#*!★•-]+")
 
 #: Least words of filler, share of bait among them, share of the part, and recurrence or autocorrelation of a stuffed part.
-WORDS, BAIT_SHARE, PART_SHARE, RECURRENCE, CORRELATION = 20, 0.2, 0.5, 0.3, 0.12
+WORDS, BAIT_SHARE, PART_SHARE, RECURRENCE, CORRELATION = 20, 0.25, 0.5, 0.3, 0.12
 #: Least words of a list without bait, its most distinct words a word, least recurrence and autocorrelation.
-LIST_WORDS, LIST_DISTINCT, LIST_RECURRENCE, LIST_CORRELATION = 30, 0.33, 0.5, 0.15
+LIST_WORDS, LIST_DISTINCT, LIST_RECURRENCE, LIST_CORRELATION = 30, 0.33, 0.5, 0.12
 #: Least links of a link list, share of the part, and share of links that advertise or lead to random pages.
 LINKS, LINK_SHARE, ADVERTISING = 6, 0.5, 0.2
-#: Lags of the positional autocorrelation.
-LAGS = 64
+#: Lags of the positional autocorrelation, and equal positions below which one is chance.
+LAGS, MATCHES = 64, 5
 
 
 def parts(text: str) -> tuple[list[str], list[str], list[str]]:
@@ -136,7 +138,8 @@ def recurrence(words: list[str]) -> tuple[float, float]:
     number = {w: k for k, w in enumerate(where)}
     codes = np.array([number[w] for w in words])
     lags = range(1, min(LAGS, n // 2) + 1)
-    peak = max((float((codes[lag:] == codes[:-lag]).mean()) for lag in lags), default=0.0)
+    equal = [codes[lag:] == codes[:-lag] for lag in lags]
+    peak = max((float(x.mean()) for x in equal if x.sum() >= MATCHES), default=0.0)
     return regular / n, peak
 
 
@@ -157,12 +160,17 @@ def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) ->
     links = advertising = random_pages = 0
     hosts: set[str] = set()
     listed: list[str] = []
-    listed_size = 0
+    listed_size = idle = 0
     for line in lines:
         low = fold(line).strip()
         if not low:
             continue
         tags = _hash_tag.findall(low) + _span_tag.findall(low)
+        if not tags and low.count(",") >= 4:
+            items = [x.strip() for x in _tag_label.sub("", low).split(",") if x.strip()]
+            single = [x for x in items if " " not in x]
+            if len(single) > 0.8 * len(items):
+                tags = single
         if len(tags) >= 3:
             found = [w for t in tags for w in _tag_words(plain_words(t))]
             hits = sum(w in _keywords for w in found)
@@ -172,6 +180,8 @@ def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) ->
                 filler += len(low)
                 continue
         urls = _url.findall(low) if "//" in low else []
+        if ">>" in low and not urls:
+            urls = ["//" + h for h in _arrow_host.findall(low)]
         bare = low
         if urls:
             bare = _url.sub(" ", bare)
@@ -213,10 +223,11 @@ def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) ->
         if not plain and len(found) > 1 and _bare_list.fullmatch(low):
             listed += found
             listed_size += len(low)
+            idle += 0 if hits else len(low)
         code = len(_code.findall(_numbered.sub(" ", bare)))
         if code >= 2 and code > 0.1 * len(found):
             own += len(low)
-        elif hits and plain <= 0.15 * len(found):
+        elif hits >= 0.2 * len(found) and hits and plain <= 0.15 * len(found):
             filler += len(low)
             words += found
             bait += hits
@@ -227,13 +238,15 @@ def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) ->
             words += found
         else:
             prose += len(low)
-    if links >= LINKS and link + filler > LINK_SHARE * (link + filler + prose + own):
-        if advertising >= ADVERTISING * links or random_pages > 0.5 * links and len(hosts) > 0.7 * links:
-            return True
     # Lists without function words that draw on few words again and again need no bait.
-    if len(listed) >= LIST_WORDS and listed_size > PART_SHARE * (filler + prose + own) and len(set(listed)) <= LIST_DISTINCT * len(listed):
+    if len(listed) >= LIST_WORDS and len(set(listed)) <= LIST_DISTINCT * len(listed):
         share, peak = recurrence(listed)
         if share >= LIST_RECURRENCE and peak >= LIST_CORRELATION:
+            if listed_size > PART_SHARE * (filler + prose + own):
+                return True
+            filler, prose = filler + idle, max(0, prose - idle)
+    if links >= LINKS and link + filler > LINK_SHARE * (link + filler + prose + own):
+        if advertising >= ADVERTISING * links or random_pages > 0.5 * links and len(hosts) > 0.7 * links:
             return True
     if len(words) < WORDS or bait < BAIT_SHARE * len(words) or filler <= PART_SHARE * (filler + prose + own):
         return False
