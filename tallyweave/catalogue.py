@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyweave import oracle
 from tallyweave.functions import similarity as S
 from tallyweave.functions import text as T
-from tallyweave.operators import blocking, cluster, decide, features, idf, retrieval, validate, variants
+from tallyweave.operators import blocking, cluster, decide, features, idf, quality, retrieval, validate, variants
 from tallyweave.plans import pipeline
 from tallyweave.plans.durable import cut
 from tallyweave.sources.records import id_lists, load_source_parquet
@@ -129,6 +129,28 @@ def minhash_candidates(spark, folder):
     return blocking.minhash_candidates(*_both(spark, folder))
 
 
+def block_sound(spark, folder):
+    return blocking.keyed_candidates(*_both(spark, folder), blocking.sound_key(F.col("name_core")))
+
+
+def block_place(spark, folder):
+    return blocking.keyed_candidates(*_both(spark, folder), blocking.place_key(F.col("address_norm")))
+
+
+def tfidf_cosine_pairs(spark, folder):
+    left, right = _both(spark, folder)
+    rows = retrieval.pair_cosines(scored_pairs(spark, folder), left, right, T.text_for_retrieval(F.col("name_norm"), F.col("address_norm")))
+    return rows.select("s1_id", "cand_id", F.round("cosine", 6).alias("cosine"))
+
+
+def record_flags(spark, folder):
+    return quality.record_flags(_all(spark, folder))
+
+
+def raw_suffix_pairs(spark, folder):
+    return attributed_pairs(spark, folder).select("s1_id", "cand_id", quality.raw_suffix_agreement(F.col("name_norm_1"), F.col("name_norm_2")).alias("raw_suffix_agreement"))
+
+
 def hybrid_candidates(spark, folder):
     left, right = _both(spark, folder)
     return blocking.hybrid_candidates(blocking.rule_candidates(left, right), scored_pairs(spark, folder))
@@ -369,9 +391,9 @@ def embedding_topk_cosine(spark, folder):
 
 
 QUERIES: tuple[Callable, ...] = (
-    normalize_names, normalize_addresses, normalize_addresses_indian, retrieval_text, parsed_truth,
-    block_union_capped, candidate_lists, tfidf_top20, bm25_top20, minhash_candidates, hybrid_candidates, blocking_recall, reduction_ratio, fn_mining,
-    idf_table, weighted_jaccard_pairs, token_jaccard_pairs, char3_jaccard_pairs, len_ratios, structured_pair_features, interaction_flags,
+    normalize_names, normalize_addresses, normalize_addresses_indian, retrieval_text, parsed_truth, record_flags,
+    block_union_capped, candidate_lists, block_sound, block_place, tfidf_top20, bm25_top20, tfidf_cosine_pairs, minhash_candidates, hybrid_candidates, blocking_recall, reduction_ratio, fn_mining,
+    idf_table, weighted_jaccard_pairs, token_jaccard_pairs, char3_jaccard_pairs, len_ratios, structured_pair_features, raw_suffix_pairs, interaction_flags,
     rank_window_features, gap_to_second, translit_rewrite, translit_pattern_counts, seq_ratio_features, token_set_ratio_pairs, jaro_winkler_pairs, pair_feature_matrix,
     greedy_assignment, confidence_propagation, matching_lists, match_counts, entity_f05, macro_f05, threshold_curve, best_threshold, bucket_thresholds, singleton_report,
     training_pairs, class_balance, val_split, sampled_records, hard_negatives, ensemble_scores, end_to_end_matches,

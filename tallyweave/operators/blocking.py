@@ -37,6 +37,25 @@ def block_keys(records: DataFrame, kinds: tuple[str, ...] = KEY_TYPES) -> DataFr
     return rows.filter(F.col("key_type").isin(*kinds)) if kinds != KEY_TYPES else rows
 
 
+def sound_key(name: Column) -> Column:
+    """Sounds of the sorted words of a name: spelling variants and orders of one name share it."""
+    return F.array_join(F.transform(F.array_sort(tokens(name)), lambda t: F.soundex(t)), " ")
+
+
+def place_key(address: Column) -> Column:
+    """The last word of an address that is no number: its town, state or country, whichever comes last."""
+    return F.coalesce(F.try_element_at(F.filter(tokens(address), lambda t: ~t.rlike(r"\d")), F.lit(-1)), F.lit(""))
+
+
+def keyed_candidates(left: DataFrame, right: DataFrame, key: Column, per_key: int = PER_KEY) -> DataFrame:
+    """``(s1_id, cand_id)`` of records with one further key and country, capped as in :func:`capped_candidates`."""
+    block = ["country_norm", "key"]
+    keyed = lambda d: d.select("entity_id", "country_norm", key.alias("key")).filter("key <> ''")
+    first = Window.partitionBy(*block).orderBy(F.md5("entity_id"), "entity_id")
+    rows = keyed(right).withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_key).select(*block, F.col("entity_id").alias("cand_id"))
+    return keyed(left).withColumnRenamed("entity_id", "s1_id").join(rows, block).select("s1_id", "cand_id").distinct()
+
+
 def hash24(c: Column) -> Column:
     """The first 24 bits of the MD5 digest."""
     return F.conv(F.substring(F.md5(c), 1, 6), 16, 10).cast("long")

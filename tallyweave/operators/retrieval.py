@@ -82,6 +82,16 @@ def tfidf_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 2
     return best(scores, k)
 
 
+def pair_cosines(pairs: DataFrame, left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
+    """``(s1_id, cand_id, cosine)`` of word n-gram weights for given pairs; 0 where nothing is shared or the countries differ."""
+    weights = term_weights(both_sides(left, right, text), word_grams(F.col("text")))
+    a = weights.filter("side = 1").select(F.col("entity_id").alias("s1_id"), "country_norm", "term", F.col("w").alias("w1"))
+    b = weights.filter("side = 2").select(F.col("entity_id").alias("cand_id"), "country_norm", "term", F.col("w").alias("w2"))
+    wanted = pairs.select("s1_id", "cand_id").distinct()
+    shared = wanted.join(a, "s1_id").join(b, ["cand_id", "country_norm", "term"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine"))
+    return wanted.join(shared, ["s1_id", "cand_id"], "left").na.fill(0.0, ["cosine"])
+
+
 def bm25_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, k1: float = 1.2, b: float = 0.75, max_postings: int | None = MAX_POSTINGS) -> DataFrame:
     """``(s1_id, cand_id, score, rank)`` by BM25 over character 3-grams; each distinct gram of the left text asks once."""
     sides = both_sides(left, right, text)

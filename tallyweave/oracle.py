@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyweave.functions import vocabulary as V
+from tallyweave.operators.quality import STATES
 
 _ASCII = "".join(map(chr, range(0x21, 0x7F)))
 _WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)
@@ -40,6 +41,10 @@ def _case(values: dict[str, str], c: str, other: str) -> str:
 _FORMS = V.LEGAL_FORMS.replace(" ", "  ")
 _SPREAD = "' ' || replace(name_norm, ' ', '  ') || ' '"
 
+def _form(c: str) -> str:
+    return f"regexp_extract(' ' || replace({c}, ' ', '  ') || ' ', ' ({_FORMS}) ', 1)"
+
+
 NORMAL = rf"""
 raw as (
   select distinct 1 side, {clean('entity_id')} entity_id, {clean('business_name')} business_name, {clean('business_address')} business_address, {clean('country')} country from train_source1
@@ -225,6 +230,15 @@ def statements() -> dict[str, str]:
   b as (select side, entity_id, unnest([{', '.join(f"'{b}:' || " + ' || '.join(_least(b * 2 + r, 'g') for r in range(2)) for b in range(6))}]) band from g),
   r as (select *, row_number() over (partition by band order by md5(entity_id), entity_id) k from b where side = 2)
   select distinct l.entity_id s1_id, r.entity_id cand_id from b l join r using (band) where l.side = 1 and k <= 75""",
+        "block_place": f"""{w(n)}, k as (select side, entity_id, country_norm, list_filter({_words('address_norm')}, lambda t: not regexp_matches(t, '\\d'))[-1] as key from nrm),
+  r as (select *, row_number() over (partition by country_norm, key order by md5(entity_id), entity_id) as pos from k where side = 2 and key is not null)
+  select distinct l.entity_id s1_id, r.entity_id cand_id from k l join r using (country_norm, key) where l.side = 1 and pos <= 75""",
+        "tfidf_cosine_pairs": f"""{w(n, s, REPS, _weights('wg', _WORD_GRAMS, 1_000_000_000))}, c as (select s1_id, cand_id, sum(a.u * b.u) v from scored join wg a on a.side = 1 and a.entity_id = s1_id join wg b on b.side = 2 and b.entity_id = cand_id and b.term = a.term and b.country_norm = a.country_norm group by all)
+  select s1_id, cand_id, round(coalesce(v, 0), 6) cosine from scored left join c using (s1_id, cand_id)""",
+        "record_flags": f"""{w(n)} select r.entity_id, (regexp_matches(business_name, '\p{{Cc}}') or regexp_matches(business_address, '\p{{Cc}}'))::int has_control,
+  (regexp_matches(name_norm, '\b\d{{5,6}}\b') and not regexp_matches(address_norm, '\d'))::int fields_swapped, list_has_any(string_split(address_norm, ' '), {STATES.split()!r})::int has_state,
+  (street_num <> '')::int has_street_number, (length(name_core) < 3)::int low_information from raw r join nrm using (side, entity_id)""",
+        "raw_suffix_pairs": f"""{w(n, s, PAIRS)}, f as (select s1_id, cand_id, {_form('name_norm_1')} x, {_form('name_norm_2')} y from pairs) select s1_id, cand_id, (x <> '' and x = y)::int raw_suffix_agreement from f""",
         "idf_table": f"{w(n)} select token, count(*) df, round(ln(((select count(*) from nrm) + 1.0) / (count(*) + 1.0)) + 1, 6) idf from (select unnest(list_distinct({_words('name_norm')})) token from nrm) group by token",
         "token_jaccard_pairs": f"{w(n, s, PAIRS)}, x as (select s1_id, cand_id, {SETS} from pairs) select s1_id, cand_id, round(name_set, 6) name_set, round(core_set, 6) core_set, round(addr_set, 6) addr_set from x",
         "char3_jaccard_pairs": f"{w(n, s, PAIRS)} select s1_id, cand_id, round({char_jaccard('name_norm')}, 6) name_char3, round({char_jaccard('address_norm')}, 6) addr_char3 from pairs",

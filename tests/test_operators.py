@@ -160,3 +160,19 @@ def test_cosine_neighbours(spark):
     for q in (0, 20, 40, 60):
         order = [k for k in np.argsort(-(m @ m[q])) if k != q][:3]
         assert [got[q, r] for r in (1, 2, 3)] == order
+
+
+def test_further_keys_and_flags(spark):
+    from tallyweave.operators import quality
+
+    left = records(spark, [("S1-1", "Kapur Textiles Ltd", "1 Main St Oregon", "US"), ("S1-2", "", "", "US"), ("S1-3", "12345 lane", "nowhere", "US")])
+    right = records(spark, [("S2-1", "Textiles Capur", "9 Side St Oregon", "US"), ("S2-2", "Kapoor Textile", "Elsewhere", "US"), ("S2-3", "a\x01b ltd", "1 x or", "US")])
+    sound = {(r.s1_id, r.cand_id) for r in blocking.keyed_candidates(left, right, blocking.sound_key(F.col("name_core"))).collect()}
+    assert sound == {("S1-1", "S2-2")}
+    place = {(r.s1_id, r.cand_id) for r in blocking.keyed_candidates(left, right, blocking.place_key(F.col("address_norm"))).collect()}
+    assert place == {("S1-1", "S2-1")}
+    flags = {r.entity_id: r for r in quality.record_flags(left.union(right)).collect()}
+    assert flags["S1-3"].fields_swapped == 1 and flags["S2-3"].has_control == 1 and flags["S2-3"].has_state == 1 and flags["S1-2"].low_information == 1
+    lines = spark.createDataFrame([("a\tb\tc\td",), ("a\tb",)], "value string")
+    good, bad = quality.quarantine(lines)
+    assert good.count() == bad.count() == 1
