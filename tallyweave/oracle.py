@@ -230,12 +230,12 @@ def statements() -> dict[str, str]:
   b as (select side, entity_id, unnest([{', '.join(f"'{b}:' || " + ' || '.join(_least(b * 2 + r, 'g') for r in range(2)) for b in range(6))}]) band from g),
   r as (select *, row_number() over (partition by band order by md5(entity_id), entity_id) k from b where side = 2)
   select distinct l.entity_id s1_id, r.entity_id cand_id from b l join r using (band) where l.side = 1 and k <= 75""",
-        "block_place": f"""{w(n)}, k as (select side, entity_id, country_norm, list_filter({_words('address_norm')}, lambda t: not regexp_matches(t, '\\d'))[-1] as key from nrm),
+        "block_place": rf"""{w(n)}, k as (select side, entity_id, country_norm, list_filter({_words('address_norm')}, lambda t: not regexp_matches(t, '\d'))[-1] as key from nrm),
   r as (select *, row_number() over (partition by country_norm, key order by md5(entity_id), entity_id) as pos from k where side = 2 and key is not null)
   select distinct l.entity_id s1_id, r.entity_id cand_id from k l join r using (country_norm, key) where l.side = 1 and pos <= 75""",
         "tfidf_cosine_pairs": f"""{w(n, s, REPS, _weights('wg', _WORD_GRAMS, 1_000_000_000))}, c as (select s1_id, cand_id, sum(a.u * b.u) v from scored join wg a on a.side = 1 and a.entity_id = s1_id join wg b on b.side = 2 and b.entity_id = cand_id and b.term = a.term and b.country_norm = a.country_norm group by all)
   select s1_id, cand_id, round(coalesce(v, 0), 6) cosine from scored left join c using (s1_id, cand_id)""",
-        "record_flags": f"""{w(n)} select r.entity_id, (regexp_matches(business_name, '\p{{Cc}}') or regexp_matches(business_address, '\p{{Cc}}'))::int has_control,
+        "record_flags": rf"""{w(n)} select r.entity_id, (regexp_matches(business_name, '\p{{Cc}}') or regexp_matches(business_address, '\p{{Cc}}'))::int has_control,
   (regexp_matches(name_norm, '\b\d{{5,6}}\b') and not regexp_matches(address_norm, '\d'))::int fields_swapped, list_has_any(string_split(address_norm, ' '), {STATES.split()!r})::int has_state,
   (street_num <> '')::int has_street_number, (length(name_core) < 3)::int low_information from raw r join nrm using (side, entity_id)""",
         "raw_suffix_pairs": f"""{w(n, s, PAIRS)}, f as (select s1_id, cand_id, {_form('name_norm_1')} x, {_form('name_norm_2')} y from pairs) select s1_id, cand_id, (x <> '' and x = y)::int raw_suffix_agreement from f""",
@@ -284,6 +284,11 @@ def statements() -> dict[str, str]:
         "validate_summary": f"{w(LINES)} select rule, count(*) n, array_to_string(list_sort(list(offender))[1:5], ',') examples from (select distinct rule, offender from broken) group by rule",
         "outside_candidates": f"{w(s, t)} select distinct s1_id from wanted where (s1_id, cand_id) not in (select (s1_id, cand_id) from scored)",
         "gt_components": f"{w(t)} select s1_id node, s1_id component from truth union select cand_id, min(s1_id) from wanted group by cand_id",
+        "country_label_clusters": r"""with recursive l as (select trim(country) as label, count(*) n, lower(regexp_replace(trim(country), '[^\p{L}]', '', 'g')) x from
+    (select country from train_source1 union all select country from train_source2 union all select country from train_source3) where trim(coalesce(country, '')) <> '' group by all),
+  e as (select a.label as u, b.label as v from l a join l b on a.x = b.x or greatest(length(a.x), length(b.x)) > 3 and levenshtein(a.x, b.x) <= 1),
+  r as (select u, v from e union select r.u, e.v from r join e on e.u = r.v),
+  t as (select u, arg_max(label, (n, label)) c from r join l on l.label = r.v group by u) select label, n, c as "cluster" from l join t on t.u = l.label""",
         "embedding_topk_cosine": """with v as (select vec_id, embedding::double[] e from embeddings), p as (select a.vec_id query_id, b.vec_id, round(list_cosine_similarity(a.e, b.e), 9) score from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0),
   r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p) select query_id, vec_id, round(score, 5) score, rank from r where rank <= 10""",
     }
