@@ -51,7 +51,10 @@ def term_weights(records: DataFrame, terms: Column, vocabulary: int | None = Non
 
 def both_sides(left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
     cols = ("entity_id", "country_norm")
-    return left.select(F.lit(1).alias("side"), *cols, text.alias("text")).unionByName(right.select(F.lit(2).alias("side"), *cols, text.alias("text")))
+    sides = left.select(F.lit(1).alias("side"), *cols, text.alias("text")).unionByName(right.select(F.lit(2).alias("side"), *cols, text.alias("text")))
+    # Texts are placed by record while they are small: counting a record's terms then needs no shuffle of terms.
+    # The number is given, since texts small enough to be merged into one partition have many terms.
+    return sides.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
