@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyweave.functions.text import tokens
+from tallyweave.plans.durable import cut
 
-#: Terms in more records of a country than this are stop terms of a retrieval.
-MAX_POSTINGS = 200
+#: Left and right records of a block; a task scores one block of each against the other.
+LEFT_BLOCK, RIGHT_BLOCK = 2048, 4096
+#: Terms whose left times right records in a pair of blocks are more than this part of all its pairs are multiplied as dense matrices.
+DENSE = 0.01
 
 
 def char_wb_grams(text: Column, sizes: tuple[int, ...] = (2, 3)) -> Column:
@@ -45,8 +51,8 @@ def term_weights(records: DataFrame, terms: Column, vocabulary: int | None = Non
     sizes = records.groupBy("country_norm").agg(F.count("*").alias("n"))
     idf = F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0
     raw = tf.join(stats, ["country_norm", "term"]).join(sizes, "country_norm").select("country_norm", "side", "entity_id", "term", "df", ((1.0 + F.log(F.col("tf").cast("double"))) * idf).alias("w"))
-    norms = raw.groupBy("side", "entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, ["side", "entity_id"]).select("country_norm", "side", "entity_id", "term", (F.col("w") / F.col("norm")).alias("w"), "df")
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("side", "entity_id")))
+    return raw.select("country_norm", "side", "entity_id", "term", (F.col("w") / norm).alias("w"), "df")
 
 
 def both_sides(left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
@@ -54,7 +60,7 @@ def both_sides(left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
     sides = left.select(F.lit(1).alias("side"), *cols, text.alias("text")).unionByName(right.select(F.lit(2).alias("side"), *cols, text.alias("text")))
     # Texts are placed by record while they are small: counting a record's terms then needs no shuffle of terms.
     # The number is given, since texts small enough to be merged into one partition have many terms.
-    return sides.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
+    return cut(sides, "texts").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
@@ -63,26 +69,92 @@ def best(scores: DataFrame, k: int) -> DataFrame:
     return scores.filter("score > 0").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _matches(weights: DataFrame, max_postings: int | None) -> DataFrame:
-    kept = weights if max_postings is None else weights.filter(F.col("df") <= max_postings)
-    a = kept.filter("side = 1").select("country_norm", "term", F.col("entity_id").alias("s1_id"), F.col("w").alias("w1"))
-    b = kept.filter("side = 2").select("country_norm", "term", F.col("entity_id").alias("cand_id"), F.col("w").alias("w2"))
-    return a.join(b, ["country_norm", "term"])
-
-
-def tfidf_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, char_terms: int | None = 200_000, word_terms: int | None = 100_000, max_postings: int | None = MAX_POSTINGS) -> DataFrame:
+def block_scores(left: np.ndarray, right: np.ndarray, terms: np.ndarray, w: np.ndarray, is_left: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    """Sums of products of weights over shared terms, ``rows`` x ``columns``; arrays hold one entry a posting."""
+    out = np.zeros((rows, columns))
+    order = np.lexsort((~is_left, terms))
+    at, w, is_left, terms = np.where(is_left, left, right)[order], w[order], is_left[order], terms[order]
+    starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+    ends = np.r_[starts[1:], len(terms)]
+    middle = starts + np.add.reduceat(is_left, starts, dtype=np.int64)
+    shared = (middle > starts) & (ends > middle)
+    starts, middle, ends = starts[shared], middle[shared], ends[shared]
+    dense = (middle - starts) * (ends - middle) > DENSE * rows * columns
+    for lo, mid, hi in zip(starts[~dense], middle[~dense], ends[~dense], strict=True):
+        out[at[lo:mid, None], at[mid:hi]] += w[lo:mid, None] * w[mid:hi]
+    hot = list(zip(starts[dense], middle[dense], ends[dense], strict=True))
+    for first in range(0, len(hot), 256):
+        some = hot[first : first + 256]
+        x, y = np.zeros((rows, len(some))), np.zeros((len(some), columns))
+        for k, (lo, mid, hi) in enumerate(some):
+            x[at[lo:mid], k] = w[lo:mid]
+            y[k, at[mid:hi]] = w[mid:hi]
+        out += x @ y
+    return out
+
+
+def top_by_terms(weights: DataFrame, k: int, left_block: int = LEFT_BLOCK, right_block: int = RIGHT_BLOCK) -> DataFrame:
+    """``(s1_id, cand_id, score, rank)``: exact best ``k`` by the sum of products over all shared terms.
+
+    ``weights`` has ``country_norm``, ``side``, ``entity_id``, ``term`` and ``w``. The
+    records of each side of a country are split into blocks; every pair of blocks
+    is scored by itself in one task and leaves its best ``k`` of each left record,
+    so the postings of a term, however many, never meet in one join and the pairs
+    are never shuffled. The work is the product of both sides of a country.
+    """
+    listed = cut(weights.groupBy("country_norm", "side", "entity_id").agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("ws")), "vectors")
+    of = lambda side: F.count_distinct(F.when(F.col("side") == side, F.col("entity_id")))
+    sizes = listed.groupBy("country_norm").agg(F.ceil(of(1) / left_block).alias("lefts"), F.ceil(of(2) / right_block).alias("rights")).filter("lefts > 0 and rights > 0")
+
+    def blocks(side: int, n: str) -> Column:
+        """The block of a record on its own side, every block on the other."""
+        mine = F.pmod(F.xxhash64("entity_id"), F.col(n))
+        return F.when(F.col("side") == side, F.array(mine)).otherwise(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    placed = listed.join(sizes, "country_norm").withColumn("lb", F.explode(blocks(1, "lefts"))).withColumn("rb", F.explode(blocks(2, "rights")))
+
+    def score(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        is_left = block["side"].to_numpy() == 1
+        ids = np.array(block["entity_id"].to_pylist(), dtype=object)
+        lefts, rights = np.unique(ids[is_left]), np.unique(ids[~is_left])
+        found: list[tuple] = []
+        if len(lefts) and len(rights):
+            place = np.zeros(len(ids), dtype=np.int64)
+            place[is_left] = np.searchsorted(lefts, ids[is_left])
+            place[~is_left] = np.searchsorted(rights, ids[~is_left])
+            row = np.repeat(np.arange(len(ids)), pc.list_value_length(block["terms"]).to_numpy())
+            codes = pc.dictionary_encode(pc.list_flatten(block["terms"])).combine_chunks().indices.to_numpy()
+            at = place[row]
+            scores = block_scores(at, at, codes, pc.list_flatten(block["ws"]).to_numpy(), is_left[row], len(lefts), len(rights))
+            # Columns stand in order of their ids, so ties fall to the smaller one.
+            for first in range(0, len(lefts), 256):
+                some = np.round(scores[first : first + 256], 9)
+                least = np.partition(some, -k, axis=1)[:, -k] if k < len(rights) else np.zeros(len(some))
+                r, c = np.nonzero((some >= least[:, None]) & (some > 0))
+                order = np.lexsort((c, -some[r, c], r))
+                r, c = r[order], c[order]
+                kept = np.arange(len(r)) - np.searchsorted(r, r) < k
+                found.append((lefts[first + r[kept]], rights[c[kept]], some[r[kept], c[kept]]))
+        joined = [np.concatenate(x) for x in zip(*found, strict=True)] or [[], [], []]
+        return pa.table([pa.array(joined[0], pa.string()), pa.array(joined[1], pa.string()), pa.array(joined[2], pa.float64())], names=["s1_id", "cand_id", "score"])
+
+    return best(placed.groupBy("country_norm", "lb", "rb").applyInArrow(score, "s1_id string, cand_id string, score double"), k)
+
+
+def tfidf_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, char_terms: int | None = 200_000, word_terms: int | None = 100_000, max_postings: int | None = None) -> DataFrame:
     """``(s1_id, cand_id, score, rank)`` by the sum of two cosines, over character and word n-grams.
 
-    Terms found in more than ``max_postings`` records of a country keep their part
-    in the lengths but are not matched, which bounds the postings of a term and with
-    them the join; None matches all terms. Scores are rounded to nine digits before
-    they are ranked, so that the order of summation can't decide a tie.
+    All terms are matched, by :func:`top_by_terms`; with ``max_postings`` terms found
+    in more records of a country keep their part in the lengths but are not matched.
+    Scores are rounded to nine digits before they are ranked, so that the order of
+    summation can't decide a tie.
     """
     sides = both_sides(left, right, text)
-    spaces = ((char_wb_grams(F.col("text")), char_terms), (word_grams(F.col("text")), word_terms))
-    parts = [_matches(term_weights(sides, terms, cap), max_postings).select("s1_id", "cand_id", (F.col("w1") * F.col("w2")).alias("p")) for terms, cap in spaces]
-    scores = parts[0].unionByName(parts[1]).groupBy("s1_id", "cand_id").agg(F.round(F.sum("p"), 9).alias("score"))
-    return best(scores, k)
+    spaces = (("c", char_wb_grams(F.col("text")), char_terms), ("w", word_grams(F.col("text")), word_terms))
+    parts = [term_weights(sides, terms, cap).withColumn("term", F.concat(F.lit(tag), "term")) for tag, terms, cap in spaces]
+    weights = parts[0].unionByName(parts[1])
+    return top_by_terms(weights if max_postings is None else weights.filter(F.col("df") <= max_postings), k)
 
 
 def pair_cosines(pairs: DataFrame, left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
@@ -95,7 +167,7 @@ def pair_cosines(pairs: DataFrame, left: DataFrame, right: DataFrame, text: Colu
     return wanted.join(shared, ["s1_id", "cand_id"], "left").na.fill(0.0, ["cosine"])
 
 
-def bm25_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, k1: float = 1.2, b: float = 0.75, max_postings: int | None = MAX_POSTINGS) -> DataFrame:
+def bm25_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, k1: float = 1.2, b: float = 0.75, max_postings: int | None = None) -> DataFrame:
     """``(s1_id, cand_id, score, rank)`` by BM25 over character 3-grams; each distinct gram of the left text asks once."""
     sides = both_sides(left, right, text)
     tf = sides.select("country_norm", "side", "entity_id", F.explode(char_wb_grams(F.col("text"), (3,))).alias("term"))
@@ -107,10 +179,9 @@ def bm25_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20
         df = df.filter(F.col("df") <= max_postings)
     idf = F.log(1.0 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    index = docs.join(df, ["country_norm", "term"]).join(lengths, ["country_norm", "entity_id"]).join(stats, "country_norm").select("country_norm", "term", F.col("entity_id").alias("cand_id"), weight.alias("w"))
-    asks = tf.filter("side = 1").select("country_norm", "term", F.col("entity_id").alias("s1_id")).distinct()
-    scores = asks.join(index, ["country_norm", "term"]).groupBy("s1_id", "cand_id").agg(F.round(F.sum("w"), 9).alias("score"))
-    return best(scores, k)
+    index = docs.join(df, ["country_norm", "term"]).join(lengths, ["country_norm", "entity_id"]).join(stats, "country_norm")
+    asks = tf.filter("side = 1").select("country_norm", "side", "entity_id", "term", F.lit(1.0).alias("w")).distinct()
+    return top_by_terms(asks.unionByName(index.select("country_norm", F.lit(2).alias("side"), "entity_id", "term", weight.alias("w"))), k)
 
 
 def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 256) -> DataFrame:

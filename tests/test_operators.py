@@ -176,3 +176,24 @@ def test_further_keys_and_flags(spark):
     lines = spark.createDataFrame([("a\tb\tc\td",), ("a\tb",)], "value string")
     good, bad = quality.quarantine(lines)
     assert good.count() == bad.count() == 1
+
+
+def test_retrieval_matches_terms_of_many_records(spark):
+    right = records(spark, [(f"S2-{k:09d}", "acme", "", "IN") for k in range(450)])
+    left = records(spark, [("S1-000000001", "acme", "", "IN")])
+    for find in (retrieval.tfidf_candidates, retrieval.bm25_candidates):
+        got = [r.cand_id for r in find(left, right, F.col("name_norm")).orderBy("rank").collect()]
+        assert got == [f"S2-{k:09d}" for k in range(20)]
+
+
+def test_top_by_terms_against_a_join(spark):
+    rng = random.Random(5)
+    rows = [("IN", side, f"S{side}-{k:03d}", f"t{t}", float(rng.randint(1, 4))) for side, n in ((1, 40), (2, 90)) for k in range(n) for t in {min(int(rng.expovariate(0.3)), 30) for _ in range(5)}]
+    weights = spark.createDataFrame(rows, "country_norm string, side int, entity_id string, term string, w double")
+    sums = {}
+    for (_, s, a, t, u), (_, s2, b, t2, v) in itertools.product(rows, rows):
+        if (s, s2, t) == (1, 2, t2):
+            sums[a, b] = sums.get((a, b), 0.0) + u * v
+    ranked = {a: sorted((-x, b) for (l, b), x in sums.items() if l == a)[:7] for a in {a for a, _ in sums}}
+    got = {(r.s1_id, r["rank"]): (-r.score, r.cand_id) for r in retrieval.top_by_terms(weights, 7, left_block=15, right_block=20).collect()}
+    assert got == {(a, k + 1): x for a, best in ranked.items() for k, x in enumerate(best)}
