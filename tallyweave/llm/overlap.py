@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tallyweave.plans.durable import cut
 COVERAGE = 0.3
 #: Evaluation texts of a shard at most, about; an automaton holds their passages.
 SHARD_TEXTS = 20_000
-#: Postings up to which a matched passage by itself proposes evaluation texts.
+#: Proposals above which a bound of their coverage is taken for all of them at once.
 FEW = 64
 
 
@@ -68,28 +69,38 @@ class Scanner:
             self.automaton.add_word(p, p)
         if every:
             self.automaton.make_automaton()
-        few = {k for own in self.postings.values() if len(own) <= FEW for k in own}
-        # Texts all of whose anchors are common are proposed by two of them together.
-        self.crowded = {p: set(own) - few for p, own in self.postings.items() if len(own) > FEW}
-
-    def scan(self, text: str) -> Iterator[tuple[int, float]]:
-        """Evaluation texts whose passages cover enough of ``text`` or of themselves."""
+        self.house = np.array([a.partition("|")[0] for _, _, a in texts], dtype=object)
+        self.least = np.array(self.sizes, dtype=np.int64)
+        self.anchored = {p: np.array(own) for p, own in self.postings.items()}
+        holders: dict[str, list[int]] = {}
+        for k, own in enumerate(self.of):
+            for p in own:
+                holders.setdefault(p, []).append(k)
+        self.holders = {p: np.array(own) for p, own in holders.items()}
+
+    def scan(self, text: str, house: str = "") -> Iterator[tuple[int, float]]:
+        """Evaluation texts whose passages cover enough of ``text`` or of themselves.
+
+        Every text of a matched anchor is proposed, however common the anchor; texts
+        of another ``house`` than the one given contradict it and are left out.
+        """
         found: dict[str, list[tuple[int, int]]] = {}
         for end, p in self.automaton.iter(text):
             found.setdefault(p, []).append((end - len(p) + 1, end + 1))
-        proposed: set[int] = set()
-        common = []
-        for p in found:
-            own = self.postings.get(p, ())
-            if len(own) <= FEW:
-                proposed.update(own)
-            elif self.crowded[p]:
-                common.append(self.crowded[p])
-        common.sort(key=len)
-        for i, one in enumerate(common):
-            for two in common[i + 1 :]:
-                proposed |= one & two
-        for k in proposed:
+        own = [self.anchored[p] for p in found if p in self.anchored]
+        if not own:
+            return
+        proposed = np.unique(np.concatenate(own))
+        if len(proposed) > FEW:
+            # Spans may overlap, so their sum is an upper bound of what they cover.
+            bound = np.zeros(len(self.texts))
+            for p, spans in found.items():
+                bound[self.holders[p]] += sum(high - low for low, high in spans)
+            proposed = proposed[bound[proposed] >= COVERAGE * np.minimum(len(text), self.least[proposed]) - 1e-9]
+        if house:
+            theirs = self.house[proposed]
+            proposed = proposed[(theirs == house) | (theirs == "")]
+        for k in proposed.tolist():
             spans = sorted(s for p in found.keys() & self.of[k] for s in found[p])
             covered = at = 0
             for low, high in spans:
@@ -155,7 +166,7 @@ def overlaps(parsed_rows: DataFrame, splits: dict[str, tuple[str, str]]) -> Data
                 if scanner is None:
                     scanner = Scanner(waiting)
                 if waiting:
-                    for k, share in scanner.scan(normal_text(n, a)):
+                    for k, share in scanner.scan(normal_text(n, a), a.partition("|")[0]):
                         other, n2, a2 = waiting[k]
                         if same_record(n, a, n2, a2):
                             out.append((split, rep, other, share))

@@ -141,3 +141,9 @@ def test_scanner_with_common_passages():
     scanner = overlap.Scanner(texts)
     found = dict(scanner.scan(overlap.normal_text("alpha beta|1||", "5|gamma delta|town|12345||")))
     assert len(found) == 200 and found[0] == pytest.approx(1.0)
+
+
+def test_scanner_proposes_by_common_passages_beside_a_rare_one():
+    texts = [(f"e{k}", f"hotword {'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}own|1||", "|hot street|town|12345||") for k in range(100)]
+    scanner = overlap.Scanner([*texts, ("typo", "hotword gutpa|1||", "|hot street|town|||")])
+    assert 100 in dict(scanner.scan(overlap.normal_text("hotword gupta|1||", "12|hot street|||||")))
