@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyweave.llm import linkage, overlap, records
 
@@ -143,6 +144,35 @@ def test_scanner_with_common_passages():
     assert len(found) == 200 and found[0] == pytest.approx(1.0)
 
 
+def test_overlap_with_hot_names_and_streets(spark):
+    rng = random.Random(4)
+    syllable = lambda: rng.choice("bdfgklmnprstvz") + rng.choice("aeiou")
+    word = lambda: "".join(syllable() for _ in range(3))
+    towns = [f"{word()}ton" for _ in range(90)]
+    # One chain everywhere, and one street with many other names.
+    test = [(f"S1-1{k:03d}", "Vashira Shethazo Foods", f"{k + 1} {word()} Road, {towns[k]}", "India") for k in range(90)]
+    test += [(f"S1-2{k:03d}", f"Vashira {word()} Foods", f"Wibostenu Road, {towns[k]}", "India") for k in range(90)]
+    test += [("S1-3000", "Vashira Shethazo Foods", None, "India"), ("S1-3001", "Vashira Gekisi Foods", "Wibostenu Road, Lalugaon", "India")]
+    train = [("S1-0000", "Vashira Shethazo Foods", "", "India"), ("S1-0001", "Vashira Shethazzo Foods", None, "India"), ("S1-0002", "Vashira Geksi Foods", "12 Wibostenu Road, Lalugaon", "India")]
+    train += [(f"S1-01{k:02d}", n, a, c) for k, (_, n, a, c) in enumerate(test[:20])]
+    rows = linkage.parsed({"tr": table(spark, train), "te": table(spark, test)})
+    got = {(r.train_id, r.eval_id) for r in overlap.overlaps(rows, {"one": ("tr", "te")}).collect()}
+    code = lambda r: (records.name_code(r[1] or ""), records.address_code(r[2] or ""))
+    want = {(a[0], b[0]) for a in train for b in test if overlap.same_record(*code(a), *code(b))}
+    assert got == want and {("S1-0000", "S1-3000"), ("S1-0001", "S1-3000"), ("S1-0002", "S1-3001")} <= got
+
+
+def test_whole_keys_in_parts(spark):
+    rng = random.Random(6)
+    rows = lambda side: [(f"{side}{k}", [1, 10 + k % 9], rng.choice([None, "", "4", "5", "6"])) for k in range(60)]
+    one, two = rows("l"), rows("r")
+    schema = "id string, keys array<bigint>, house string"
+    left, right = overlap.whole_keys(spark.createDataFrame(one, schema), spark.createDataFrame(two, schema), 20, 7, 5)
+    got = {(x.l, x.r) for x in left.select("key", F.col("id").alias("l")).join(right.select("key", F.col("id").alias("r")), "key").collect()}
+    able = lambda g, h: (g is None) == (h is None) and (g == h or "" in (g, h))
+    assert got == {(a, b) for a, x, g in one for b, y, h in two if able(g, h) or set(x[1:]) & set(y[1:])}
+
+
 def test_scanner_proposes_by_common_passages_beside_a_rare_one():
     texts = [(f"e{k}", f"hotword {'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}own|1||", "|hot street|town|12345||") for k in range(100)]
     scanner = overlap.Scanner([*texts, ("typo", "hotword gutpa|1||", "|hot street|town|||")])
