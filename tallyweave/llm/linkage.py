@@ -18,6 +18,8 @@ from tallyweave.plans.durable import cut
 
 #: A key of more left rows than this is only used together with a second key.
 HOT = 64
+#: Rows of a side of a hot key that meet the other side's in one part of a join, about.
+PART = 2_000
 
 
 def parsed(tables: dict[str, DataFrame], keys: Callable[[str, str, str], list[int]] | None = None) -> DataFrame:
@@ -88,6 +90,46 @@ def candidate_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFr
     return a.withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r").distinct()
 
 
+def whole_keys(left: DataFrame, right: DataFrame, hot: int = HOT, texts: int = PART, reads: int = PART) -> tuple[DataFrame, DataFrame]:
+    """``(id, key)`` of both sides from rows ``(id, keys, house)``, so that all rows that share a key and don't contradict share a key here.
+
+    ``house`` is a part of a row, such as the house or the trade, in which rows must
+    not contradict: '' where it is missing, null where the row meets only rows
+    with null (:func:`overlap.same_record` wants both addresses or none). A key of
+    more than ``hot`` left rows is split by it: equal parts meet, and rows without
+    it meet all. What then still has more than ``texts`` left or ``reads`` right
+    rows is split into parts of both sides, every left part meeting every right one.
+    """
+    exploded = lambda d: d.select("id", "house", F.explode("keys").alias("key"))
+    many = cut(exploded(left).groupBy("key").count().filter(F.col("count") > hot).select("key"), "hot")
+    if many.isEmpty():
+        return exploded(left).select("id", "key"), exploded(right).select("id", "key")
+    cold = [exploded(d).join(many, "key", "left_anti").select("id", "key") for d in (left, right)]
+
+    def split(d: DataFrame, with_house: str, without: str) -> DataFrame:
+        kinds = F.when(F.col("house").isNull(), F.array(F.lit("n"))).when(F.col("house") == "", F.array(F.lit("h"), F.lit(without))).otherwise(F.array(F.concat(F.lit("h"), "house"), F.lit(with_house)))
+        rows = exploded(d).join(many, "key", "left_semi").select("id", "key", F.explode(kinds).alias("kind"))
+        return rows.select("id", F.xxhash64("key", "kind").alias("key"))
+
+    hots = [cut(split(left, "e", "t"), "keys"), cut(split(right, "t", "e"), "keys")]
+    sizes = [d.groupBy("key").agg(F.ceil(F.count("*") / most).alias(n)) for d, n, most in ((hots[0], "parts", texts), (hots[1], "reads", reads))]
+    parts = cut(sizes[0].join(sizes[1], "key").filter("parts > 1 or reads > 1"), "parts")
+
+    def placed(d: DataFrame, mine: str, theirs: str) -> DataFrame:
+        of = d.join(parts, "key", "left").na.fill(1, ["parts", "reads"])
+        of = of.select("id", "key", "parts", "reads", F.pmod(F.xxhash64("id"), F.col(mine)).alias(f"{mine}_at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(theirs) - 1)).alias(f"{theirs}_at"))
+        alone = (F.col("parts") == 1) & (F.col("reads") == 1)
+        return of.select("id", F.when(alone, F.col("key")).otherwise(F.xxhash64("key", "parts_at", "reads_at")).alias("key"))
+
+    return cold[0].unionByName(placed(hots[0], "parts", "reads")), cold[1].unionByName(placed(hots[1], "reads", "parts"))
+
+
+def whole_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFrame:
+    """Distinct ``(l, r)`` of rows ``(id, keys, house)`` that share a key, without contradictions of hot ones as in :func:`whole_keys`."""
+    a, b = whole_keys(left, right, hot)
+    return a.withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r").distinct()
+
+
 def with_codes(pairs: DataFrame, left: DataFrame, right: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """``pairs (l, r)`` with the ``columns`` of both rows, suffixed _l and _r."""
     a = left.select(F.col("id").alias("l"), *(F.col(c).alias(f"{c}_l") for c in columns))
@@ -208,10 +250,9 @@ def same_place(a: str, b: str) -> float | None:
 def same_address(parsed_rows: DataFrame, left_src: str, right_srcs: str, hot: int = HOT) -> DataFrame:
     """``(l, r)`` of records at one building or plot.
 
-    Distinct addresses are indexed by their rarest tokens (words of the street,
-    the house with the town or the postcode; of those that occur in another
-    address: a token met once is a typo or joins nothing) and probed with all
-    tokens of the other addresses, fuller or as full. Addresses without a
+    Distinct addresses meet where they share a token (words of the street, the
+    house with the town or the postcode), however common it is; tokens of many
+    places are split by house as in :func:`whole_keys`. Addresses without a
     street name no place. An address without a house is the place of a fuller
     one only if all places it is contained in have one house number.
     """
@@ -224,22 +265,12 @@ def same_address(parsed_rows: DataFrame, left_src: str, right_srcs: str, hot: in
             yield (*x, records.place_tokens(x[0]))
 
     places = cut(map_rows(spread, tokens, "place string, in_left boolean, in_right boolean, tokens array<bigint>"), "places")
-    exploded = places.select("place", F.explode("tokens").alias("token"))
-    common = exploded.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
-    rare = exploded.join(common, "token").groupBy("place").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
-    rarest = F.when(F.col("t")[0]["df"] <= hot, F.slice("t", 1, 2)).otherwise(F.col("t"))
-    index = places.join(rare, "place").select(F.col("place").alias("id"), rarest["token"].alias("keys"), "in_left", "in_right")
-    probe = places.select(F.col("place").alias("id"), F.col("tokens").alias("keys"), "in_left", "in_right")
-
-    def side(d: DataFrame, wanted: str) -> DataFrame:
-        return d.filter(wanted).select("id", "keys")
-
-    one = candidate_pairs(side(index, "in_left"), side(probe, "in_right"), hot)
-    two = candidate_pairs(side(index, "in_right"), side(probe, "in_left"), hot).select(F.col("r").alias("l"), F.col("l").alias("r"))
+    side = lambda wanted: places.filter(wanted).select(F.col("place").alias("id"), F.col("tokens").alias("keys"), part("place", 1).alias("house"))
+    found = whole_pairs(side("in_left"), side("in_right"), hot)
     # Another house is another place: such pairs end here, before any text is compared.
     number = lambda c: part(c, 1)
     apart = (number("l") != "") & (number("r") != "") & (number("l") != number("r"))
-    pairs = one.unionByName(two).filter((F.col("l") != F.col("r")) & ~apart).distinct()
+    pairs = found.filter((F.col("l") != F.col("r")) & ~apart)
 
     def verified(ls, rs):
         for x, y in zip(ls, rs, strict=True):

@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm import linkage, records
+from tallyweave.llm import records
 from tallyweave.llm.arrow import map_rows
+from tallyweave.llm.linkage import whole_keys
 from tallyweave.plans.durable import cut
 
 #: Least part of the shorter of two texts that matched passages must cover.
@@ -125,39 +126,6 @@ def same_record(n1: str, a1: str, n2: str, a2: str) -> bool:
     return place[0] >= 1.4 and (name < 0.8 or place[0] >= 2.5)
 
 
-def whole_keys(left: DataFrame, right: DataFrame, hot: int = linkage.HOT, texts: int = SHARD_TEXTS, reads: int = SHARD_READS) -> tuple[DataFrame, DataFrame]:
-    """``(id, key)`` of both sides from rows ``(id, keys, house)``, so that all rows that share a key and can be one record share a key here.
-
-    ``house`` is null without an address, '' without a house. A key of more than
-    ``hot`` left rows is split by what :func:`same_record` requires: rows without an
-    address meet each other, houses the same house, and rows without a house all
-    with an address. What then still has more than ``texts`` left or ``reads`` right
-    rows is split into parts of both sides, every left part meeting every right one.
-    """
-    exploded = lambda d: d.select("id", "house", F.explode("keys").alias("key"))
-    many = cut(exploded(left).groupBy("key").count().filter(F.col("count") > hot).select("key"), "hot")
-    if many.isEmpty():
-        return exploded(left).select("id", "key"), exploded(right).select("id", "key")
-    cold = [exploded(d).join(many, "key", "left_anti").select("id", "key") for d in (left, right)]
-
-    def split(d: DataFrame, with_house: str, without: str) -> DataFrame:
-        kinds = F.when(F.col("house").isNull(), F.array(F.lit("n"))).when(F.col("house") == "", F.array(F.lit("h"), F.lit(without))).otherwise(F.array(F.concat(F.lit("h"), "house"), F.lit(with_house)))
-        rows = exploded(d).join(many, "key", "left_semi").select("id", "key", F.explode(kinds).alias("kind"))
-        return rows.select("id", F.xxhash64("key", "kind").alias("key"))
-
-    hots = [cut(split(left, "e", "t"), "keys"), cut(split(right, "t", "e"), "keys")]
-    sizes = [d.groupBy("key").agg(F.ceil(F.count("*") / most).alias(n)) for d, n, most in ((hots[0], "parts", texts), (hots[1], "reads", reads))]
-    parts = cut(sizes[0].join(sizes[1], "key").filter("parts > 1 or reads > 1"), "parts")
-
-    def placed(d: DataFrame, mine: str, theirs: str) -> DataFrame:
-        of = d.join(parts, "key", "left").na.fill(1, ["parts", "reads"])
-        of = of.select("id", "key", "parts", "reads", F.pmod(F.xxhash64("id"), F.col(mine)).alias(f"{mine}_at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col(theirs) - 1)).alias(f"{theirs}_at"))
-        alone = (F.col("parts") == 1) & (F.col("reads") == 1)
-        return of.select("id", F.when(alone, F.col("key")).otherwise(F.xxhash64("key", "parts_at", "reads_at")).alias("key"))
-
-    return cold[0].unionByName(placed(hots[0], "parts", "reads")), cold[1].unionByName(placed(hots[1], "reads", "parts"))
-
-
 def overlaps(parsed_rows: DataFrame, splits: dict[str, tuple[str, str]]) -> DataFrame:
     """``(split, train_id, eval_id, coverage)`` for ``splits`` name -> (training table, evaluation table).
 
@@ -181,7 +149,7 @@ def overlaps(parsed_rows: DataFrame, splits: dict[str, tuple[str, str]]) -> Data
 
     hash_of = {s: k * 0x9E3779B97F4A7C15 % (1 << 63) for k, s in enumerate(splits)}
     keys = cut(map_rows(texts.select("split", "evaluated", "n", "a", "rep"), keyed, "id string, evaluated boolean, keys array<bigint>, house string"), "anchors")
-    left, right = whole_keys(keys.filter("evaluated"), keys.filter("not evaluated"))
+    left, right = whole_keys(keys.filter("evaluated"), keys.filter("not evaluated"), texts=SHARD_TEXTS, reads=SHARD_READS)
     both = left.select("key", F.col("id").alias("rep"), F.lit(True).alias("evaluated")).unionByName(right.select("key", F.col("id").alias("rep"), F.lit(False).alias("evaluated")))
     # Anchors of one side only lead nowhere.
     met = both.groupBy("key").agg(F.min("evaluated").alias("low"), F.max("evaluated").alias("high")).filter("low <> high").select("key")

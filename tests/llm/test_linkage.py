@@ -177,3 +177,14 @@ def test_scanner_proposes_by_common_passages_beside_a_rare_one():
     texts = [(f"e{k}", f"hotword {'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}own|1||", "|hot street|town|12345||") for k in range(100)]
     scanner = overlap.Scanner([*texts, ("typo", "hotword gutpa|1||", "|hot street|town|||")])
     assert 100 in dict(scanner.scan(overlap.normal_text("hotword gupta|1||", "12|hot street|||||")))
+
+
+def test_same_address_on_a_hot_street(spark):
+    letters = "abcdefghij"
+    others = [(f"{s}-1{k:03d}", "A", f"{k + 20} Wibostenu Road, Town{letters[k // 10]}{letters[k % 10]}ville - {400000 + 137 * k}", "") for s in ("S1", "S2") for k in range(90)]
+    left = [x for x in others if x[0][:2] == "S1"] + [("S1-2", "B", "12 Wibostenu Road, Lalugaon - 447495", "")]
+    right = [x for x in others if x[0][:2] == "S2"] + [("S2-2", "C", "12 Wibostenu Road", "")]
+    got = {(r.l, r.r) for r in linkage.same_address(linkage.parsed({"a": table(spark, left), "b": table(spark, right)}), "a", "b").collect()}
+    code = lambda r: records.address_code(r[2])
+    want = {(x[0], y[0]) for x in left for y in right if linkage.same_place(code(x), code(y)) is not None}
+    assert got == want and ("S1-2", "S2-2") in got
