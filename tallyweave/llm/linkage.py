@@ -190,7 +190,8 @@ def belief_matches(parsed_rows: DataFrame, left_src: str, right_srcs: list[str],
     """
     left = parsed_rows.filter(F.col("src") == left_src)
     right = parsed_rows.filter(F.col("src").isin(right_srcs))
-    pairs = candidate_pairs(left.select("id", "keys"), right.select("id", "keys"))
+    # A record without an address can match any, so it counts as one without a house.
+    pairs = whole_pairs(*(d.select("id", "keys", part("a", 1).alias("house")) for d in (left, right)))
     full = with_codes(pairs, left, right, ("n", "a", "country")).filter(~_contradict())
 
     def rows(ls, rs, n1, a1, c1, n2, a2, c2):
@@ -318,7 +319,9 @@ def attributed_spellings(parsed_rows: DataFrame, tidy_src: str, typed_src: str)
             yield (*x, records.name_keys(x[0]))
 
     spelled = cut(map_rows(spelled, keyed, "id string, weight double, keys array<bigint>"), "spellings")
-    pairs = candidate_pairs(spelled, spelled).filter(F.col("l") != F.col("r"))
+    # Spellings of one organisation can't differ in trade, as places can't in house.
+    sides = spelled.select("id", "keys", part("id", 2).alias("house"))
+    pairs = whole_pairs(sides, sides).filter(F.col("l") != F.col("r"))
     full = with_codes(pairs, spelled, spelled, ("weight",))
     # l is the variant and r the more frequent spelling.
     full = full.filter((F.col("weight_r") > F.col("weight_l")) | (F.col("weight_r") == F.col("weight_l")) & (F.col("r") < F.col("l")))

@@ -188,3 +188,24 @@ def test_same_address_on_a_hot_street(spark):
     code = lambda r: records.address_code(r[2])
     want = {(x[0], y[0]) for x in left for y in right if linkage.same_place(code(x), code(y)) is not None}
     assert got == want and ("S1-2", "S2-2") in got
+
+
+def test_hot_words_of_names(spark):
+    letters = "bdfgklmnpr"
+    names = [f"Z{letters[k // 10]}a{letters[k % 10]}ovi" for k in range(90)]
+    left = [(f"S1-1{k:03d}", f"{x} Hotwordo Foods", f"{k + 20} {x} Road", "") for k, x in enumerate(names)]
+    left += [(f"S1-2{k:03d}", "Kavita Hotwordo Foods", f"{k + 200} Wibostenu Road", "") for k in range(90)]
+    right = [("S2-1", "K. Hotwordo Foods", "", ""), ("S2-2", "Kavita Hotwordo Foods", "Town Gekisiville", "")]
+    rows = linkage.parsed({"a": table(spark, left), "b": table(spark, right)})
+    n = records.name_code
+    roots = {r.n: r.root for r in linkage.attributed_spellings(rows, "a", "b").collect()}
+    assert roots[n("K. Hotwordo Foods")] == n("Kavita Hotwordo Foods")
+
+
+def test_beliefs_of_a_hot_organisation(spark):
+    left = [(f"S1-2{k:03d}", "Kavita Hotwordo Foods", f"{k + 200} Drosa Lukun Lane, Stopiabad - 854444", "") for k in range(90)]
+    left += [("S1-3", "Kavita Hotwordo Foods", "4 Wibostenu Gekisi Road, Lalugaon - 447495", "India")]
+    right = [("S2-1", "Kavita Hotwordo Foods", "Wibosteku Gekisi Road, Lalugaon - 447495", "India")]
+    rows = linkage.parsed({"a": table(spark, left), "b": table(spark, right)}, linkage.belief_keys("a"))
+    got = {(r.l, r.r) for r in linkage.belief_matches(rows, "a", ["b"], [0.3, 0.4, 0.2, 0.1]).collect()}
+    assert got == {("S1-3", "S2-1")}
