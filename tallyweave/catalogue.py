@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tallyweave import oracle
 from tallyweave.functions import similarity as S
 from tallyweave.functions import text as T
-from tallyweave.operators import blocking, cluster, decide, features, idf, quality, retrieval, validate, variants
+from tallyweave.operators import blocking, cluster, decide, features, idf, model, quality, retrieval, validate, variants
+from tallyweave.operators.countries import with_country_keys
 from tallyweave.plans import pipeline
 from tallyweave.plans.durable import cut
 from tallyweave.sources.records import id_lists, load_source_parquet
@@ -37,8 +38,8 @@ def right_records(spark, folder) -> DataFrame:
     return one.unionByName(two)
 
 
-def _both(spark, folder) -> tuple[DataFrame, DataFrame]:
-    return cut(T.normalized(left_records(spark, folder)), "left"), cut(T.normalized(right_records(spark, folder)), "right")
+def _both(spark, folder) -> list[DataFrame]:
+    return with_country_keys(cut(T.normalized(left_records(spark, folder)), "left"), cut(T.normalized(right_records(spark, folder)), "right"))
 
 
 def _all(spark, folder) -> DataFrame:
@@ -111,9 +112,12 @@ def candidate_lists(spark, folder):
     return id_lists(blocking.rule_candidates(left, right), left, "candidate_entity_ids")
 
 
+def _text():
+    return T.text_for_retrieval(F.col("name_norm"), F.col("address_norm"))
+
+
 def _retrieve(find: Callable, spark, folder):
-    left, right = _both(spark, folder)
-    out = find(left, right, T.text_for_retrieval(F.col("name_norm"), F.col("address_norm")))
+    out = find(*_both(spark, folder), _text())
     return out.select("s1_id", "cand_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -139,7 +143,7 @@ def block_place(spark, folder):
 
 def tfidf_cosine_pairs(spark, folder):
     left, right = _both(spark, folder)
-    rows = retrieval.pair_cosines(scored_pairs(spark, folder), left, right, T.text_for_retrieval(F.col("name_norm"), F.col("address_norm")))
+    rows = retrieval.pair_cosines(scored_pairs(spark, folder), left, right, _text())
     return rows.select("s1_id", "cand_id", F.round("cosine", 6).alias("cosine"))
 
 
@@ -151,16 +155,28 @@ def raw_suffix_pairs(spark, folder):
     return attributed_pairs(spark, folder).select("s1_id", "cand_id", quality.raw_suffix_agreement(F.col("name_norm_1"), F.col("name_norm_2")).alias("raw_suffix_agreement"))
 
 
+def landmark_pairs(spark, folder):
+    return attributed_pairs(spark, folder).select("s1_id", "cand_id", F.round(quality.landmark_overlap(F.col("address_norm_1"), F.col("address_norm_2")), 6).alias("landmark_overlap"))
+
+
 def hybrid_candidates(spark, folder):
-    left, right = _both(spark, folder)
-    return blocking.hybrid_candidates(blocking.rule_candidates(left, right), scored_pairs(spark, folder))
+    """Rule candidates and the twenty best of each record by weighted terms."""
+    return pipeline.candidates(*_both(spark, folder))
 
 
-def blocking_recall(spark, folder):
-    out = blocking.blocking_recall(blocking.rule_candidates(*_both(spark, folder)), truth(spark, folder))
+def _recall(pairs, spark, folder):
+    out = blocking.blocking_recall(pairs, truth(spark, folder))
     return out.select(*_rounded({"recall": F.col("recall"), "avg_candidates": F.col("avg_candidates")}), "captured", "total_true")
 
 
+def blocking_recall(spark, folder):
+    return _recall(blocking.rule_candidates(*_both(spark, folder)), spark, folder)
+
+
+def hybrid_recall(spark, folder):
+    return _recall(cut(hybrid_candidates(spark, folder), "hybrid"), spark, folder)
+
+
 def reduction_ratio(spark, folder):
     left, right = _both(spark, folder)
     out = blocking.reduction_ratio(blocking.rule_candidates(left, right), left, right)
@@ -175,16 +191,38 @@ def fn_mining(spark, folder):
 # ---------------------------------------------------------------- features
 
 
+TEST = ("test_source1", "test_source2")
+
+
+def _names(spark, folder) -> DataFrame:
+    """Normalized names of all records, of training and test: word weights are those of both."""
+    rows = left_records(spark, folder).unionByName(right_records(spark, folder))
+    for name in TEST:
+        rows = rows.unionByName(load_source_parquet(spark, f"{folder}/{name}.parquet"))
+    return T.normalized(rows).select("name_norm")
+
+
+def _weights(spark, folder) -> idf.WordWeights:
+    weights = idf.fit(cut(_names(spark, folder), "names"), "name_norm")
+    weights.table = cut(weights.table, "idf")
+    return weights
+
+
 def idf_table(spark, folder):
-    return idf.idf_table(_all(spark, folder), "name_norm").select("token", "df", F.round("idf", 6).alias("idf"))
+    return idf.idf_table(_names(spark, folder), "name_norm").select("token", "df", F.round("idf", 6).alias("idf"))
+
+
+def weighted_pairs(spark, folder, *more: str) -> DataFrame:
+    """Pairs with the weighted words of both records, and further attributes."""
+    weights = _weights(spark, folder)
+    left, right = (weights.attach(d, features.WEIGHTED) for d in _both(spark, folder))
+    if more:
+        left, right = features.with_sets(left), features.with_sets(right)
+    return features.with_attributes(scored_pairs(spark, folder).select("s1_id", "cand_id"), left, right, (*(f"{c}_weights" for c in features.WEIGHTED), *more))
 
 
 def weighted_jaccard_pairs(spark, folder):
-    left, right = _both(spark, folder)
-    weights = idf.fit(left.select("name_norm").union(right.select("name_norm")), "name_norm")
-    cols = tuple(f"{c}_weights" for c in features.WEIGHTED)
-    pairs = features.with_attributes(scored_pairs(spark, folder).select("s1_id", "cand_id"), weights.attach(left, features.WEIGHTED), weights.attach(right, features.WEIGHTED), cols)
-    return pairs.select("s1_id", "cand_id", *_rounded(features.weighted_similarities()))
+    return weighted_pairs(spark, folder).select("s1_id", "cand_id", *_rounded(features.weighted_similarities()))
 
 
 def token_jaccard_pairs(spark, folder):
@@ -207,9 +245,10 @@ def structured_pair_features(spark, folder):
 
 
 def interaction_flags(spark, folder):
-    rows = attributed_pairs(spark, folder).withColumns({**features.structured(), **features.set_similarities()}).withColumn("name_idf_jaccard", F.col("name_set"))
+    rows = weighted_pairs(spark, folder, *features.ATTRIBUTES, *features.SETS)
+    rows = rows.withColumns({**features.structured(), **features.set_similarities(), **features.weighted_similarities()})
     rows = rows.withColumns({**features.interactions(), **features.more_interactions()})
-    numbers = ("name_addr_prod", "name_country_prod", "name_has_pincode_prod", "name_addr_char_prod")
+    numbers = ("name_addr_prod", "name_idf_addr_prod", "name_country_prod", "name_has_pincode_prod", "name_addr_char_prod")
     flags = ("high_name_pin_mismatch", "name_match_addr_mismatch", "same_address_other_name", "same_branch_number", "low_information_name")
     return rows.select("s1_id", "cand_id", *(F.round(c, 6).alias(c) for c in numbers), *flags)
 
@@ -248,9 +287,7 @@ def jaro_winkler_pairs(spark, folder):
 
 
 def pair_feature_matrix(spark, folder):
-    left, right = _both(spark, folder)
-    weights = idf.fit(left.select("name_norm").union(right.select("name_norm")), "name_norm")
-    return features.feature_matrix(scored_pairs(spark, folder).select("s1_id", "cand_id"), left, right, weights)
+    return features.feature_matrix(scored_pairs(spark, folder).select("s1_id", "cand_id"), *_both(spark, folder), _weights(spark, folder))
 
 
 # ---------------------------------------------------------------- decisions
@@ -332,22 +369,73 @@ def hard_negatives(spark, folder):
     return worst(pairs.select("s1_id", "cand_id", "score", F.array_contains("targets", F.col("cand_id")).cast("int").alias("label")), score="score").select("s1_id", "cand_id", "score")
 
 
-def ensemble_scores(spark, folder):
-    """Validation pairs of the labelled records scored by the trained ensemble."""
+def _labelled_matrix(spark, folder) -> DataFrame:
+    """Features, label and split of the labelled records' candidate pairs."""
     left, right = _both(spark, folder)
-    weights = idf.fit(left.select("name_norm").union(right.select("name_norm")), "name_norm")
     labelled = truth(spark, folder)
     mine = left.join(labelled.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_semi")
-    _, scored = pipeline.learn(blocking.rule_candidates(mine, right), labelled, left, right, weights, pipeline.Options(trees=10))
+    pairs = decide.training_pairs(blocking.rule_candidates(mine, right), labelled)
+    rows = decide.validation_split(pairs).join(left.select(F.col("entity_id").alias("s1_id"), "country_key").dropDuplicates(["s1_id"]), "s1_id")
+    return cut(features.feature_matrix(rows, left, right, _weights(spark, folder)), "training")
+
+
+def _learned(spark, folder) -> tuple[DataFrame, DataFrame]:
+    matrix = _labelled_matrix(spark, folder)
+    ensemble = model.PairEnsemble().fit(matrix)
+    return ensemble.score(matrix.filter("is_val")), matrix
+
+
+def ensemble_scores(spark, folder):
+    """Validation pairs of the labelled records scored by the trained ensemble."""
+    scored, _ = _learned(spark, folder)
     return scored.select("s1_id", "cand_id", "label", "proba")
 
 
 def end_to_end_matches(spark, folder):
     """Matches of all left records by the whole pipeline."""
-    matches, _, _ = pipeline.link(left_records(spark, folder), right_records(spark, folder), truth(spark, folder), pipeline.Options(trees=10))
+    matches, _, _ = pipeline.link(left_records(spark, folder), right_records(spark, folder), truth(spark, folder))
     return matches
 
 
+def calibrated_scores(spark, folder):
+    """Validation pairs with the ensemble's probability and its isotonic calibration."""
+    scored, _ = _learned(spark, folder)
+    scored = cut(scored.select("s1_id", "cand_id", "label", "proba"), "scored")
+    return model.calibrated(scored, scored).select("s1_id", "cand_id", "label", "proba", "proba_calibrated")
+
+
+def split_view_scores(spark, folder):
+    """Validation pairs scored by members that see names, addresses and everything."""
+    matrix = _labelled_matrix(spark, folder)
+    return model.name_address_ensemble().fit(matrix).score(matrix.filter("is_val")).select("s1_id", "cand_id", "label", "proba")
+
+
+def country_held_out_scores(spark, folder):
+    """Every labelled pair scored by an ensemble that never saw its country."""
+    return model.leave_one_country_out(_labelled_matrix(spark, folder)).select("s1_id", "cand_id", "label", "held_out", "proba")
+
+
+def pseudo_label_scores(spark, folder):
+    """Validation pairs scored after rounds of training on confidently scored pairs of unlabelled records."""
+    left, right = _both(spark, folder)
+    matrix = _labelled_matrix(spark, folder)
+    others = left.join(truth(spark, folder).select(F.col("s1_id").alias("entity_id")), "entity_id", "left_anti")
+    pairs = cut(blocking.rule_candidates(others, right), "pairs")
+    pool = cut(features.feature_matrix(pairs, left, right, _weights(spark, folder)), "pool")
+    ensemble, _ = model.pseudo_label_rounds(matrix, pool)
+    return ensemble.score(matrix.filter("is_val")).select("s1_id", "cand_id", "label", "proba")
+
+
+def seed_averaged_f05(spark, folder):
+    """Macro F0.5 of the given scores on validation records of several splits, and their mean."""
+    return decide.averaged_over_seeds(scored_pairs(spark, folder), truth(spark, folder), THRESHOLD).select("seed", "records", F.round("macro_f05", 6).alias("macro_f05"))
+
+
+def cluster_split(spark, folder):
+    """Labelled records split so that records joined by true matches stay on one side."""
+    return cluster.cluster_split(truth(spark, folder))
+
+
 # ---------------------------------------------------------------- validation and groups
 
 
@@ -392,11 +480,11 @@ def embedding_topk_cosine(spark, folder):
 
 QUERIES: tuple[Callable, ...] = (
     normalize_names, normalize_addresses, normalize_addresses_indian, retrieval_text, parsed_truth, record_flags,
-    block_union_capped, candidate_lists, block_sound, block_place, tfidf_top20, bm25_top20, tfidf_cosine_pairs, minhash_candidates, hybrid_candidates, blocking_recall, reduction_ratio, fn_mining,
-    idf_table, weighted_jaccard_pairs, token_jaccard_pairs, char3_jaccard_pairs, len_ratios, structured_pair_features, raw_suffix_pairs, interaction_flags,
+    block_union_capped, candidate_lists, block_sound, block_place, tfidf_top20, bm25_top20, tfidf_cosine_pairs, minhash_candidates, hybrid_candidates, blocking_recall, hybrid_recall, reduction_ratio, fn_mining,
+    idf_table, weighted_jaccard_pairs, token_jaccard_pairs, char3_jaccard_pairs, len_ratios, structured_pair_features, raw_suffix_pairs, landmark_pairs, interaction_flags,
     rank_window_features, gap_to_second, translit_rewrite, translit_pattern_counts, seq_ratio_features, token_set_ratio_pairs, jaro_winkler_pairs, pair_feature_matrix,
     greedy_assignment, confidence_propagation, matching_lists, match_counts, entity_f05, macro_f05, threshold_curve, best_threshold, bucket_thresholds, singleton_report,
-    training_pairs, class_balance, val_split, sampled_records, hard_negatives, ensemble_scores, end_to_end_matches,
+    training_pairs, class_balance, val_split, sampled_records, hard_negatives, ensemble_scores, calibrated_scores, split_view_scores, country_held_out_scores, pseudo_label_scores, seed_averaged_f05, cluster_split, end_to_end_matches,
     validate_rules, validate_summary, outside_candidates, gt_components, country_label_clusters, embedding_topk_cosine,
 )
 

@@ -21,19 +21,21 @@ def clean(c: Column) -> Column:
     return F.coalesce(F.regexp_replace(c, rf"^{_SPACES}+|{_SPACES}+$", ""), F.lit(""))
 
 
-def _compatible(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t).lower() if t else t)
+def _words(texts: pd.Series) -> pd.Series:
+    kept = lambda t: "".join(c if c.isalnum() or c == "_" else " " for c in t.replace("&", " and "))
+    return texts.map(lambda t: " ".join(kept(unicodedata.normalize("NFKC", t).lower()).split()) if t else t)
 
 
-def compatible_lower(c: Column) -> Column:
-    """Lower case of the compatibility form. Pure ASCII stays in the JVM; only other texts visit Python."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.pandas_udf(_compatible, "string")(F.when(c.rlike(r"[^\x00-\x7F]"), c))).otherwise(F.lower(c))
+def normal_words(c: Column) -> Column:
+    """Lower case of the compatibility form, ampersands spelled out, all but letters, digits and underscores turned to
+    blanks, runs of blanks to one.
 
-
-def words_only(c: Column) -> Column:
-    """Ampersands spelled out, punctuation turned to blanks, runs of blanks to one."""
-    spelled = F.regexp_replace(F.replace(c, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}_\s]", " ")
-    return F.trim(F.regexp_replace(spelled, r"\s+", " "))
+    Pure ASCII stays in the JVM; other texts visit Python once, whose Unicode tables
+    know letters the JVM does not.
+    """
+    odd = c.rlike(r"[^\x00-\x7F]")
+    spelled = F.regexp_replace(F.replace(F.lower(c), F.lit("&"), F.lit(" and ")), r"[^a-z0-9_]", " ")
+    return F.when(odd, F.pandas_udf(_words, "string")(F.when(odd, c))).otherwise(F.trim(F.regexp_replace(spelled, r" +", " ")))
 
 
 def tokens(c: Column) -> Column:
@@ -52,7 +54,7 @@ def _table(values: dict[str, str]) -> Column:
 def legal_suffix(name: Column) -> Column:
     """Short form of the first legal form in the name, '' if there is none or it has no short form."""
     found = F.regexp_extract(name, f"{_NOT_WORD_BEFORE}({V.LEGAL_FORMS}){_NOT_WORD_AFTER}", 1)
-    return F.coalesce(_table(V.by_word(V.SHORT_FORMS) | V.SHORT_PHRASES)[found], F.lit(""))
+    return F.coalesce(_table(V.SHORT_FORMS)[found], F.lit(""))
 
 
 def core_name(name: Column) -> Column:
@@ -63,7 +65,7 @@ def core_name(name: Column) -> Column:
 
 def expanded(address: Column, table: dict[str, str] = V.ADDRESS_WORDS) -> Column:
     """Address with abbreviations written out word by word; no expansion is itself an abbreviation."""
-    full = _table(V.by_word(table))
+    full = _table(table)
     return F.array_join(F.transform(F.split(address, " "), lambda t: F.coalesce(full[t], t)), " ")
 
 
@@ -76,7 +78,7 @@ def street_number(address: Column) -> Column:
 
 
 def has_landmark(address: Column) -> Column:
-    return address.rlike(rf"(?U)\b(?:{V.LANDMARKS})\b").cast("int")
+    return address.rlike(rf"(?U)\b(?:{'|'.join(V.LANDMARKS)})\b").cast("int")
 
 
 def first_token(c: Column) -> Column:
@@ -98,8 +100,8 @@ def normalized(records: DataFrame, indian: bool = False) -> DataFrame:
     df = df.withColumns({
         "has_name": (F.length("business_name") > 0).cast("int"),
         "has_address": (F.length("business_address") > 0).cast("int"),
-        "name_norm": words_only(compatible_lower(F.col("business_name"))),
-        "address_norm": words_only(compatible_lower(F.col("business_address"))),
+        "name_norm": normal_words(F.col("business_name")),
+        "address_norm": normal_words(F.col("business_address")),
         "country_norm": F.upper("country"),
     })
     address = expanded(F.col("address_norm"))

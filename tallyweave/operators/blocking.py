@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyweave.functions.text import tokens
+from tallyweave.operators.countries import groups
+from tallyweave.plans.durable import cut
 
 #: Candidates a record takes from one block, and in all.
 PER_KEY, PER_RECORD = 75, 200
@@ -31,10 +33,25 @@ def key_array() -> Column:
     ))
 
 
-def block_keys(records: DataFrame, kinds: tuple[str, ...] = KEY_TYPES) -> DataFrame:
-    """``(entity_id, country_norm, key_type, key)`` of normalized records; an empty country is a country."""
-    rows = records.select("entity_id", "country_norm", F.explode(key_array()).alias("k")).select("entity_id", "country_norm", "k.*")
-    return rows.filter(F.col("key_type").isin(*kinds)) if kinds != KEY_TYPES else rows
+def key_rows(records: DataFrame, keys: Column, right: bool) -> DataFrame:
+    """``(entity_id, block, key_type, key)`` of an array of keys, once for each group of countries the record meets others in.
+
+    ``block`` is a digest of group, kind and key.
+    """
+    rows = records.select("entity_id", groups(right).alias("countries"), keys.alias("k")).select("entity_id", "countries", F.explode("k").alias("k"))
+    rows = rows.select("entity_id", F.explode("countries").alias("country"), "k.key_type", "k.key")
+    return rows.select("entity_id", F.xxhash64("country", "key_type", "key").alias("block"), "key_type", "key")
+
+
+def block_keys(records: DataFrame, right: bool, kinds: tuple[str, ...] = KEY_TYPES) -> DataFrame:
+    """``(entity_id, block, key_type, key)`` of normalized records with their ``country_key``."""
+    keys = key_array()
+    return key_rows(records, keys if kinds == KEY_TYPES else F.filter(keys, lambda k: k["key_type"].isin(*kinds)), right)
+
+
+def one_key(kind: str, key: Column) -> Column:
+    """An array of one key, empty for ''."""
+    return F.when(key != "", F.array(F.struct(F.lit(kind).alias("key_type"), key.alias("key")))).otherwise(F.array().cast("array<struct<key_type:string,key:string>>"))
 
 
 def sound_key(name: Column) -> Column:
@@ -47,49 +64,59 @@ def place_key(address: Column) -> Column:
     return F.coalesce(F.try_element_at(F.filter(tokens(address), lambda t: ~t.rlike(r"\d")), F.lit(-1)), F.lit(""))
 
 
-def keyed_candidates(left: DataFrame, right: DataFrame, key: Column, per_key: int = PER_KEY) -> DataFrame:
-    """``(s1_id, cand_id)`` of records with one further key and country, capped as in :func:`capped_candidates`."""
-    block = ["country_norm", "key"]
-    keyed = lambda d: d.select("entity_id", "country_norm", key.alias("key")).filter("key <> ''")
-    first = Window.partitionBy(*block).orderBy(F.md5("entity_id"), "entity_id")
-    rows = keyed(right).withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_key).select(*block, F.col("entity_id").alias("cand_id"))
-    return keyed(left).withColumnRenamed("entity_id", "s1_id").join(rows, block).select("s1_id", "cand_id").distinct()
-
-
 def hash24(c: Column) -> Column:
     """The first 24 bits of the MD5 digest."""
     return F.conv(F.substring(F.md5(c), 1, 6), 16, 10).cast("long")
 
 
-def capped_candidates(left: DataFrame, right: DataFrame, kinds: tuple[str, ...] = KEY_TYPES, per_key: int = PER_KEY) -> DataFrame:
-    """``(s1_id, cand_id, key_type, key)``: of every block a left record meets, at most ``per_key`` right records.
+def capped_pairs(left: DataFrame, right: DataFrame, per_key: int | None = PER_KEY) -> DataFrame:
+    """``(s1_id, cand_id, key_type, key)`` of rows of :func:`key_rows`: of every block a left record meets, at most ``per_key`` right records.
 
     Which ones is fixed by digests: the block's records stand in order of their
     digest, and a left record takes a run of them, wrapping around, that starts
     at its own digest. The join is on block and position, so a block of any size
     gives each left record ``per_key`` rows and no more. Positions are counted in
     two levels, over the leading byte of the digest and inside it, so no task
-    orders a whole block.
+    orders a whole block. With ``per_key`` None blocks are joined whole, and their
+    pairs are as many as both sides make.
     """
-    block = ["country_norm", "key_type", "key"]
-    rows = block_keys(right, kinds).withColumn("digest", F.md5("entity_id")).withColumn("lead", F.substring("digest", 1, 2))
-    sizes = rows.groupBy(*block, "lead").agg(F.count("*").alias("n"))
-    starts = sizes.select(*block, "lead", (F.sum("n").over(Window.partitionBy(*block).orderBy("lead")) - F.col("n")).alias("start"))
-    inside = F.row_number().over(Window.partitionBy(*block, "lead").orderBy("digest", "entity_id")) - 1
-    placed = rows.withColumn("inside", inside).join(starts, [*block, "lead"]).select(*block, F.col("entity_id").alias("cand_id"), (F.col("start") + F.col("inside")).alias("at"))
-    totals = sizes.groupBy(*block).agg(F.sum("n").alias("n"))
-    seen = block_keys(left, kinds).join(totals, block)
+    if per_key is None:
+        return left.join(right.select("block", F.col("entity_id").alias("cand_id")), "block").select(F.col("entity_id").alias("s1_id"), "cand_id", "key_type", "key")
+    # Counted and placed from one table, with the block's digest in the place of its three texts.
+    rows = cut(right.select("block", "entity_id", F.md5("entity_id").alias("digest")), "keys").withColumn("lead", F.substring("digest", 1, 2))
+    sizes = rows.groupBy("block", "lead").agg(F.count("*").alias("n"))
+    starts = sizes.select("block", "lead", (F.sum("n").over(Window.partitionBy("block").orderBy("lead")) - F.col("n")).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("block", "lead").orderBy("digest", "entity_id")) - 1
+    placed = rows.withColumn("inside", inside).join(starts, ["block", "lead"]).select("block", F.col("entity_id").alias("cand_id"), (F.col("start") + F.col("inside")).alias("at"))
+    totals = sizes.groupBy("block").agg(F.sum("n").alias("n"))
+    seen = left.join(totals, "block")
     steps = F.explode(F.sequence(F.lit(0), F.least(F.col("n"), F.lit(per_key)).cast("int") - 1))
-    wanted = seen.select(*block, F.col("entity_id").alias("s1_id"), "n", hash24(F.col("entity_id")).alias("h"), steps.alias("i"))
-    wanted = wanted.select(*block, "s1_id", F.pmod(F.col("h") + F.col("i"), F.col("n")).alias("at"))
-    return wanted.join(placed, [*block, "at"]).select("s1_id", "cand_id", "key_type", "key")
+    wanted = seen.select("block", "key_type", "key", F.col("entity_id").alias("s1_id"), "n", hash24(F.col("entity_id")).alias("h"), steps.alias("i"))
+    wanted = wanted.select("block", "key_type", "key", "s1_id", F.pmod(F.col("h") + F.col("i"), F.col("n")).alias("at"))
+    return wanted.join(placed, ["block", "at"]).select("s1_id", "cand_id", "key_type", "key")
+
+
+def capped_candidates(left: DataFrame, right: DataFrame, kinds: tuple[str, ...] = KEY_TYPES, per_key: int | None = PER_KEY) -> DataFrame:
+    """``(s1_id, cand_id, key_type, key)`` of normalized records by their blocking keys, see :func:`capped_pairs`."""
+    return capped_pairs(block_keys(left, False, kinds), block_keys(right, True, kinds), per_key)
+
 
+def keyed_candidates(left: DataFrame, right: DataFrame, key: Column, per_key: int | None = PER_KEY) -> DataFrame:
+    """``(s1_id, cand_id)`` of records with one further key and country, see :func:`capped_pairs`."""
+    rows = [key_rows(d, one_key("key", key), side) for d, side in ((left, False), (right, True))]
+    return capped_pairs(*rows, per_key).select("s1_id", "cand_id").distinct()
 
-def rule_candidates(left: DataFrame, right: DataFrame, per_key: int = PER_KEY, per_record: int = PER_RECORD) -> DataFrame:
-    """Distinct ``(s1_id, cand_id)`` over all kinds of keys, at most ``per_record`` for a left record, chosen by digest."""
-    pairs = capped_candidates(left, right, per_key=per_key).select("s1_id", "cand_id").distinct()
-    by_digest = Window.partitionBy("s1_id").orderBy(F.md5(F.concat("s1_id", "cand_id")), "cand_id")
-    return pairs.withColumn("at", F.row_number().over(by_digest)).filter(F.col("at") <= per_record).drop("at")
+
+def rule_candidates(left: DataFrame, right: DataFrame, per_key: int | None = PER_KEY, per_record: int | None = PER_RECORD) -> DataFrame:
+    """Distinct ``(s1_id, cand_id)`` over all kinds of keys, at most ``per_record`` for a left record: those that share most keys, then by digest.
+
+    ``None`` in the place of a cap takes all.
+    """
+    pairs = capped_candidates(left, right, per_key=per_key).groupBy("s1_id", "cand_id").agg(F.count("*").alias("shared"))
+    if per_record is None:
+        return pairs.drop("shared")
+    best = Window.partitionBy("s1_id").orderBy(F.desc("shared"), F.md5(F.concat("s1_id", "cand_id")), "cand_id")
+    return pairs.withColumn("at", F.row_number().over(best)).filter(F.col("at") <= per_record).select("s1_id", "cand_id")
 
 
 def hybrid_candidates(*sets: DataFrame) -> DataFrame:
@@ -100,12 +127,12 @@ def hybrid_candidates(*sets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def minhash_candidates(left: DataFrame, right: DataFrame, text: str = "name_norm", bands: int = 6, rows: int = 2, per_key: int = PER_KEY) -> DataFrame:
-    """``(s1_id, cand_id)`` of records whose character 3-grams share a band of minimal digests.
+def minhash_candidates(left: DataFrame, right: DataFrame, text: str = "name_norm", bands: int = 6, rows: int = 2, per_key: int | None = PER_KEY) -> DataFrame:
+    """``(s1_id, cand_id)`` of records whose character 3-grams share a band of minimal digests, whatever their countries.
 
     Each of ``bands * rows`` functions is the least digest of the salted grams;
     a record's band is the digest of its ``rows`` minima. Blocks are capped as in
-    :func:`capped_candidates`. Texts shorter than three characters have no band.
+    :func:`capped_pairs`. Texts shorter than three characters have no band.
     """
     from tallyweave.functions.similarity import char_ngrams
 
@@ -113,12 +140,9 @@ def minhash_candidates(left: DataFrame, right: DataFrame, text: str = "name_norm
         grams = d.select("entity_id", char_ngrams(F.col(text)).alias("g")).filter(F.size("g") > 0)
         least = lambda k: F.array_min(F.transform("g", lambda x: F.substring(F.md5(F.concat(F.lit(f"{k}:"), x)), 1, 8)))
         keys = F.array(*(F.concat(F.lit(f"{b}:"), *(least(b * rows + r) for r in range(rows))) for b in range(bands)))
-        return grams.select("entity_id", F.explode(keys).alias("band"))
+        return grams.select("entity_id", F.explode(keys).alias("key")).select("entity_id", F.xxhash64("key").alias("block"), F.lit("band").alias("key_type"), "key")
 
-    block = banded(right).select("band", F.col("entity_id").alias("cand_id"))
-    first = block.withColumn("at", F.row_number().over(Window.partitionBy("band").orderBy(F.md5("cand_id"), "cand_id"))).filter(F.col("at") <= per_key)
-    mine = banded(left).select("band", F.col("entity_id").alias("s1_id"))
-    return mine.join(first, "band").select("s1_id", "cand_id").distinct()
+    return capped_pairs(banded(left), banded(right), per_key).select("s1_id", "cand_id").distinct()
 
 
 def blocking_recall(pairs: DataFrame, truth: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.operators.decide import by_digest
 from tallyweave.plans.durable import cut
 
 
@@ -13,12 +14,15 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
 
     Stars alternate between large and small neighbours, which halves the way to
     the smallest node in each round; every round is cut by a table, and none
-    gathers a component anywhere.
+    gathers a component anywhere. Rounds go on until nothing moves; more than
+    ``rounds``, far above the logarithm of any size, are an error.
     """
     edges = links.select("a", "b").filter("a is not null and b is not null and a <> b").distinct()
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).filter("node is not null").distinct()
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    for _ in range(rounds):
+    for done in range(rounds + 1):
+        if done == rounds:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -38,6 +42,12 @@ def truth_components(truth: DataFrame) -> DataFrame:
     return components(links.select("a", F.coalesce("b", "a").alias("b")))
 
 
+def cluster_split(truth: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """``(s1_id, component, is_val)``: records of one component of true matches all go to the same side."""
+    parts = truth_components(truth).withColumnRenamed("node", "s1_id").join(truth.select("s1_id").distinct(), "s1_id", "left_semi")
+    return parts.withColumn("is_val", by_digest(F.col("component"), seed) < share)
+
+
 def label_clusters(labels: DataFrame, column: str) -> DataFrame:
     """``(label, n, cluster)``: distinct labels joined where their letters are equal or, beyond three letters, one edit apart.
 

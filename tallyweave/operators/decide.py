@@ -143,3 +143,11 @@ def training_pairs(pairs: DataFrame, truth: DataFrame, negatives: float = 10.0,
 def class_balance(labelled: DataFrame) -> DataFrame:
     counts = labelled.agg(F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives"))
     return counts.withColumn("positive_weight", F.col("negatives") / F.greatest(F.col("positives"), F.lit(1)))
+
+
+def averaged_over_seeds(scored: DataFrame, truth: DataFrame, threshold: float, seeds: tuple[int, ...] = (42, 43, 44), score: str = "score") -> DataFrame:
+    """``(seed, records, macro_f05)``: macro F0.5 on the validation records of each seed's split, and their mean under ``mean``."""
+    rows = record_scores(assign(scored, threshold, score), truth)
+    each = rows.withColumn("seed", F.explode(F.array(*(F.when(by_digest(F.col("s1_id"), s) < 0.2, F.lit(str(s))) for s in seeds)))).filter("seed is not null")
+    by_seed = each.groupBy("seed").agg(F.count("*").alias("records"), F.avg("f05").alias("macro_f05"))
+    return by_seed.unionByName(by_seed.agg(F.lit("mean").alias("seed"), F.sum("records").alias("records"), F.avg("macro_f05").alias("macro_f05")))

@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.operators.decide import best_threshold
 from tallyweave.operators.features import FEATURES
+from tallyweave.plans.durable import cut
 
 #: Shares of the members in the blended probability.
 BLEND = (0.4, 0.4, 0.2)
@@ -29,8 +31,9 @@ def features_present(df: DataFrame) -> list[str]:
 class PairEnsemble:
     """Two boosted forests and a random forest, blended by :data:`BLEND`.
 
-    Positives carry the weight of all negatives. ``fit`` takes a matrix with
-    ``label`` and, to stop early, the boolean ``is_val``. A member that can't be
+    Positives carry the weight of all negatives, each pair times its ``pair_weight``
+    if there is one. ``fit`` takes a matrix with ``label`` and, to stop early, the
+    boolean ``is_val``. A member that can't be
     trained (one class only) is left out and the blend renormalized; without
     members, scoring fails.
     """
@@ -54,7 +57,8 @@ class PairEnsemble:
 
     def fit(self, matrix: DataFrame) -> PairEnsemble:
         counts = matrix.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")).first()
-        weighted = matrix.withColumn("weight", F.when(F.col("label") == 1, counts.n / max(counts.p, 1)).otherwise(1.0)).withColumn("label", F.col("label").cast("double"))
+        own = F.coalesce("pair_weight", F.lit(1.0)) if "pair_weight" in matrix.columns else F.lit(1.0)
+        weighted = matrix.withColumn("weight", own * F.when(F.col("label") == 1, counts.n / max(counts.p, 1)).otherwise(1.0)).withColumn("label", F.col("label").cast("double"))
         columns = features_present(matrix)
         stages = self._stages("is_val" in matrix.columns)
         self.members = []
@@ -80,26 +84,48 @@ def name_address_ensemble(**options) -> PairEnsemble:
     return PairEnsemble(subsets=(NAME_FEATURES, ADDRESS_FEATURES, FEATURES), **options)
 
 
-def linear_scores(train: DataFrame, matrix: DataFrame, name: str = "proba") -> DataFrame:
-    """Probability of a logistic regression, for comparison."""
-    assembler = VectorAssembler(inputCols=features_present(train), outputCol="features")
-    model = Pipeline(stages=[assembler, LogisticRegression(labelCol="label", regParam=0.01)]).fit(train.withColumn("label", F.col("label").cast("double")))
-    return model.transform(matrix).withColumn(name, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
-
-
 def calibrated(validation: DataFrame, scored: DataFrame, name: str = "proba") -> DataFrame:
     """``<name>_calibrated``: isotonic fit of labels on the scores of the validation pairs."""
     model = IsotonicRegression(featuresCol=name, labelCol="label", predictionCol=f"{name}_calibrated").fit(validation.select(name, F.col("label").cast("double").alias("label")))
     return model.transform(scored)
 
 
-def pseudo_labelled(labelled: DataFrame, scored: DataFrame, sure: float = 0.95, unsure: float = 0.05, weight: float = 0.5) -> DataFrame:
-    """Labelled pairs with weight 1 and confidently scored other pairs with their own label and half the weight."""
+#: Probabilities from which a pair of an unlabelled record is taken for a match or for none, and the weight of such a pair.
+SURE, UNSURE, PSEUDO_WEIGHT = 0.95, 0.05, 0.5
+
+
+def pseudo_labelled(labelled: DataFrame, scored: DataFrame, sure: float = SURE, unsure: float = UNSURE, weight: float = PSEUDO_WEIGHT) -> DataFrame:
+    """Labelled pairs with weight 1 and confidently scored pairs of other records with their own label and a smaller weight."""
     fresh = scored.filter((F.col("proba") >= sure) | (F.col("proba") <= unsure)).join(labelled.select("s1_id").distinct(), "s1_id", "left_anti")
-    own = fresh.withColumns({"label": (F.col("proba") >= sure).cast("int"), "pair_weight": F.lit(weight)}).drop("proba")
+    own = fresh.withColumns({"label": (F.col("proba") >= sure).cast("int"), "pair_weight": F.lit(weight), "is_val": F.lit(False)}).drop("proba")
     return labelled.withColumn("pair_weight", F.lit(1.0)).unionByName(own, allowMissingColumns=True)
 
 
+def validation_score(ensemble: PairEnsemble, labelled: DataFrame) -> float:
+    """Mean F0.5 of the best threshold on the validation pairs, whose labels are the truth."""
+    rows = cut(ensemble.score(labelled.filter("is_val")).select("s1_id", "cand_id", "label", F.col("proba").alias("score")), "validation")
+    truth = rows.groupBy("s1_id").agg(F.collect_list(F.when(F.col("label") == 1, F.col("cand_id"))).alias("targets"))
+    best = best_threshold(rows, truth).first()
+    return best.macro_f05 if best else 0.0
+
+
+def pseudo_label_rounds(labelled: DataFrame, pool: DataFrame, rounds: int = 2, **options) -> tuple[PairEnsemble, list[float]]:
+    """The ensemble after at most ``rounds`` of learning from its own sure pairs of ``pool``, and the validation scores.
+
+    A round is kept only if the score on the labelled validation pairs does not fall; the first that lowers it ends the loop.
+    """
+    best = PairEnsemble(**options).fit(labelled)
+    scores = [validation_score(best, labelled)]
+    for _ in range(rounds):
+        more = cut(pseudo_labelled(labelled, best.score(pool)), "pseudo")
+        fresh = PairEnsemble(**options).fit(more)
+        scores.append(validation_score(fresh, labelled))
+        if scores[-1] < scores[-2]:
+            break
+        best = fresh
+    return best, scores
+
+
 def hard_negatives(scored: DataFrame, n: int = 5, score: str = "proba") -> DataFrame:
     """The ``n`` best-scored wrong pairs of each record."""
     from pyspark.sql.window import Window
@@ -108,7 +134,17 @@ def hard_negatives(scored: DataFrame, n: int = 5, score: str = "proba") -> DataF
     return scored.filter("label = 0").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= n).drop("at")
 
 
-def leave_one_country_out(matrix: DataFrame, country: str = "country_norm", **options) -> list[tuple[str, DataFrame]]:
-    """For each country, its pairs scored by an ensemble that never saw it."""
-    names = [r[0] for r in matrix.select(country).distinct().orderBy(country).limit(50).collect()]
-    return [(c, PairEnsemble(**options).fit(matrix.filter(F.col(country) != c)).score(matrix.filter(F.col(country) == c))) for c in names]
+def leave_one_country_out(matrix: DataFrame, country: str = "country_key", **options) -> DataFrame:
+    """All pairs with the probability of an ensemble that never saw their country, and that country as ``held_out``.
+
+    One ensemble for each country of the labelled pairs; countries for which no
+    other has both classes are left out, as nothing can be learnt for them.
+    """
+    counts = matrix.groupBy(country).agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")).orderBy(country).collect()
+    positives, negatives = sum(r.p for r in counts), sum(r.n for r in counts)
+    out = None
+    for r in counts:
+        if positives > r.p and negatives > r.n:
+            mine = PairEnsemble(**options).fit(matrix.filter(F.col(country) != r[0])).score(matrix.filter(F.col(country) == r[0])).withColumn("held_out", F.lit(r[0]))
+            out = mine if out is None else out.unionByName(mine)
+    return out if out is not None else matrix.limit(0).withColumns({"proba": F.lit(0.0), "held_out": F.col(country)})

@@ -52,3 +52,17 @@ def raw_suffix(name: Column) -> Column:
 def raw_suffix_agreement(a: Column, b: Column) -> Column:
     """1 where both names carry a legal form and it is the same one, literally."""
     return ((raw_suffix(a) != "") & (raw_suffix(a) == raw_suffix(b))).cast("int")
+
+
+def landmarks(address: Column) -> Column:
+    """The words that follow the landmark words of a normalized address, two after each."""
+    words = "|".join(V.LANDMARKS)
+    after = F.regexp_extract_all(address, F.lit(rf"(?U)\b(?:{words}) (\w+(?: \w+)?)"), F.lit(1))
+    return F.array_distinct(F.flatten(F.transform(after, lambda t: F.split(t, " "))))
+
+
+def landmark_overlap(a: Column, b: Column) -> Column:
+    """Common over all words of the landmarks of two normalized addresses; 0 where one names none."""
+    from tallyweave.functions.similarity import set_jaccard
+
+    return set_jaccard(landmarks(a), landmarks(b))

@@ -37,27 +37,28 @@ def word_grams(text: Column) -> Column:
 
 
 def term_weights(records: DataFrame, terms: Column, vocabulary: int | None = None) -> DataFrame:
-    """``(country_norm, side, entity_id, term, w, df)`` with one-off sublinear tf-idf, unit length for each record.
+    """``(country, side, entity_id, term, w, df)`` with one-off sublinear tf-idf, unit length for each record.
 
-    ``records`` has ``side``, ``entity_id`` and ``country_norm``. Statistics are
+    ``records`` has ``side``, ``entity_id`` and ``country``. Statistics are
     those of the country, over both sides. With ``vocabulary`` only a country's most
     frequent terms count, ties by term. Records without terms give no row.
     """
-    tf = records.select("country_norm", "side", "entity_id", F.explode(terms).alias("term")).groupBy("country_norm", "side", "entity_id", "term").agg(F.count("*").alias("tf"))
-    stats = tf.groupBy("country_norm", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    tf = records.select("country", "side", "entity_id", F.explode(terms).alias("term")).groupBy("country", "side", "entity_id", "term").agg(F.count("*").alias("tf"))
+    stats = tf.groupBy("country", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     if vocabulary is not None:
-        by_total = Window.partitionBy("country_norm").orderBy(F.desc("total"), "term")
+        by_total = Window.partitionBy("country").orderBy(F.desc("total"), "term")
         stats = stats.withColumn("at", F.row_number().over(by_total)).filter(F.col("at") <= vocabulary).drop("at")
-    sizes = records.groupBy("country_norm").agg(F.count("*").alias("n"))
+    sizes = records.groupBy("country").agg(F.count("*").alias("n"))
     idf = F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0
-    raw = tf.join(stats, ["country_norm", "term"]).join(sizes, "country_norm").select("country_norm", "side", "entity_id", "term", "df", ((1.0 + F.log(F.col("tf").cast("double"))) * idf).alias("w"))
+    raw = tf.join(stats, ["country", "term"]).join(sizes, "country").select("country", "side", "entity_id", "term", "df", ((1.0 + F.log(F.col("tf").cast("double"))) * idf).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("side", "entity_id")))
-    return raw.select("country_norm", "side", "entity_id", "term", (F.col("w") / norm).alias("w"), "df")
+    return raw.select("country", "side", "entity_id", "term", (F.col("w") / norm).alias("w"), "df")
 
 
 def both_sides(left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
-    cols = ("entity_id", "country_norm")
-    sides = left.select(F.lit(1).alias("side"), *cols, text.alias("text")).unionByName(right.select(F.lit(2).alias("side"), *cols, text.alias("text")))
+    """``(side, entity_id, country, text)`` of both sides; terms are weighted within a country as its labels mean it."""
+    cols = ("entity_id", F.col("country_key").alias("country"), text.alias("text"))
+    sides = left.select(F.lit(1).alias("side"), *cols).unionByName(right.select(F.lit(2).alias("side"), *cols))
     # Texts are placed by record while they are small: counting a record's terms then needs no shuffle of terms.
     # The number is given, since texts small enough to be merged into one partition have many terms.
     return cut(sides, "texts").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "entity_id")
@@ -96,22 +97,22 @@ def block_scores(left: np.ndarray, right: np.ndarray, terms: np.ndarray, w: np.n
 def top_by_terms(weights: DataFrame, k: int, left_block: int = LEFT_BLOCK, right_block: int = RIGHT_BLOCK) -> DataFrame:
     """``(s1_id, cand_id, score, rank)``: exact best ``k`` by the sum of products over all shared terms.
 
-    ``weights`` has ``country_norm``, ``side``, ``entity_id``, ``term`` and ``w``. The
+    ``weights`` has ``country``, ``side``, ``entity_id``, ``term`` and ``w``. The
     records of each side of a country are split into blocks; every pair of blocks
     is scored by itself in one task and leaves its best ``k`` of each left record,
     so the postings of a term, however many, never meet in one join and the pairs
     are never shuffled. The work is the product of both sides of a country.
     """
-    listed = cut(weights.groupBy("country_norm", "side", "entity_id").agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("ws")), "vectors")
+    listed = cut(weights.groupBy("country", "side", "entity_id").agg(F.collect_list("term").alias("terms"), F.collect_list("w").alias("ws")), "vectors")
     of = lambda side: F.count_distinct(F.when(F.col("side") == side, F.col("entity_id")))
-    sizes = listed.groupBy("country_norm").agg(F.ceil(of(1) / left_block).alias("lefts"), F.ceil(of(2) / right_block).alias("rights")).filter("lefts > 0 and rights > 0")
+    sizes = listed.groupBy("country").agg(F.ceil(of(1) / left_block).alias("lefts"), F.ceil(of(2) / right_block).alias("rights")).filter("lefts > 0 and rights > 0")
 
     def blocks(side: int, n: str) -> Column:
         """The block of a record on its own side, every block on the other."""
         mine = F.pmod(F.xxhash64("entity_id"), F.col(n))
         return F.when(F.col("side") == side, F.array(mine)).otherwise(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    placed = listed.join(sizes, "country_norm").withColumn("lb", F.explode(blocks(1, "lefts"))).withColumn("rb", F.explode(blocks(2, "rights")))
+    placed = listed.join(sizes, "country").withColumn("lb", F.explode(blocks(1, "lefts"))).withColumn("rb", F.explode(blocks(2, "rights")))
 
     def score(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
@@ -139,7 +140,7 @@ def top_by_terms(weights: DataFrame, k: int, left_block: int = LEFT_BLOCK, right
         joined = [np.concatenate(x) for x in zip(*found, strict=True)] or [[], [], []]
         return pa.table([pa.array(joined[0], pa.string()), pa.array(joined[1], pa.string()), pa.array(joined[2], pa.float64())], names=["s1_id", "cand_id", "score"])
 
-    return best(placed.groupBy("country_norm", "lb", "rb").applyInArrow(score, "s1_id string, cand_id string, score double"), k)
+    return best(placed.groupBy("country", "lb", "rb").applyInArrow(score, "s1_id string, cand_id string, score double"), k)
 
 
 def tfidf_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, char_terms: int | None = 200_000, word_terms: int | None = 100_000, max_postings: int | None = None) -> DataFrame:
@@ -160,28 +161,28 @@ def tfidf_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 2
 def pair_cosines(pairs: DataFrame, left: DataFrame, right: DataFrame, text: Column) -> DataFrame:
     """``(s1_id, cand_id, cosine)`` of word n-gram weights for given pairs; 0 where nothing is shared or the countries differ."""
     weights = term_weights(both_sides(left, right, text), word_grams(F.col("text")))
-    a = weights.filter("side = 1").select(F.col("entity_id").alias("s1_id"), "country_norm", "term", F.col("w").alias("w1"))
-    b = weights.filter("side = 2").select(F.col("entity_id").alias("cand_id"), "country_norm", "term", F.col("w").alias("w2"))
+    a = weights.filter("side = 1").select(F.col("entity_id").alias("s1_id"), "country", "term", F.col("w").alias("w1"))
+    b = weights.filter("side = 2").select(F.col("entity_id").alias("cand_id"), "country", "term", F.col("w").alias("w2"))
     wanted = pairs.select("s1_id", "cand_id").distinct()
-    shared = wanted.join(a, "s1_id").join(b, ["cand_id", "country_norm", "term"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine"))
+    shared = wanted.join(a, "s1_id").join(b, ["cand_id", "country", "term"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine"))
     return wanted.join(shared, ["s1_id", "cand_id"], "left").na.fill(0.0, ["cosine"])
 
 
 def bm25_candidates(left: DataFrame, right: DataFrame, text: Column, k: int = 20, k1: float = 1.2, b: float = 0.75, max_postings: int | None = None) -> DataFrame:
     """``(s1_id, cand_id, score, rank)`` by BM25 over character 3-grams; each distinct gram of the left text asks once."""
     sides = both_sides(left, right, text)
-    tf = sides.select("country_norm", "side", "entity_id", F.explode(char_wb_grams(F.col("text"), (3,))).alias("term"))
-    docs = tf.filter("side = 2").groupBy("country_norm", "entity_id", "term").agg(F.count("*").alias("tf"))
-    lengths = docs.groupBy("country_norm", "entity_id").agg(F.sum("tf").alias("len"))
-    stats = lengths.groupBy("country_norm").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
-    df = docs.groupBy("country_norm", "term").agg(F.count("*").alias("df"))
+    tf = sides.select("country", "side", "entity_id", F.explode(char_wb_grams(F.col("text"), (3,))).alias("term"))
+    docs = tf.filter("side = 2").groupBy("country", "entity_id", "term").agg(F.count("*").alias("tf"))
+    lengths = docs.groupBy("country", "entity_id").agg(F.sum("tf").alias("len"))
+    stats = lengths.groupBy("country").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
+    df = docs.groupBy("country", "term").agg(F.count("*").alias("df"))
     if max_postings is not None:
         df = df.filter(F.col("df") <= max_postings)
     idf = F.log(1.0 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    index = docs.join(df, ["country_norm", "term"]).join(lengths, ["country_norm", "entity_id"]).join(stats, "country_norm")
-    asks = tf.filter("side = 1").select("country_norm", "side", "entity_id", "term", F.lit(1.0).alias("w")).distinct()
-    return top_by_terms(asks.unionByName(index.select("country_norm", F.lit(2).alias("side"), "entity_id", "term", weight.alias("w"))), k)
+    index = docs.join(df, ["country", "term"]).join(lengths, ["country", "entity_id"]).join(stats, "country")
+    asks = tf.filter("side = 1").select("country", "side", "entity_id", "term", F.lit(1.0).alias("w")).distinct()
+    return top_by_terms(asks.unionByName(index.select("country", F.lit(2).alias("side"), "entity_id", "term", weight.alias("w"))), k)
 
 
 def cosine_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 256) -> DataFrame:

@@ -80,20 +80,18 @@ def outside_candidates(matching: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def summary(found: DataFrame) -> DataFrame:
-    """``(rule, n, examples)``: offenders of each rule, the first five in order."""
-    return found.groupBy("rule").agg(F.count("*").alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("offender")), 1, EXAMPLES), ",").alias("examples"))
-
-
-def _first_five(found: DataFrame) -> list:
+    """``(rule, n, examples)``: distinct offenders of each rule and the first five in order; no rule's offenders are gathered."""
     from pyspark.sql.window import Window
 
     top = found.withColumn("at", F.row_number().over(Window.partitionBy("rule").orderBy("offender"))).filter(F.col("at") <= EXAMPLES)
     counts = found.groupBy("rule").agg(F.count("*").alias("n"))
-    return counts.join(top.groupBy("rule").agg(F.array_sort(F.collect_list("offender")).alias("examples")), "rule").orderBy("rule").collect()
+    return counts.join(top.groupBy("rule").agg(F.array_join(F.array_sort(F.collect_list("offender")), ",").alias("examples")), "rule")
 
 
 def _is_utf8(spark: SparkSession, path: str) -> bool:
-    return spark.read.format("binaryFile").load(path).select((~F.is_valid_utf8(F.col("content").cast("string"))).alias("bad")).filter("bad").isEmpty()
+    """Whether every line is UTF-8: lines are read in a byte encoding, so no file is held whole."""
+    lines = spark.read.option("encoding", "ISO-8859-1").option("lineSep", "\n").csv(path, schema="value string", sep="\u0001", quote="", escape="", header=False)
+    return lines.filter(~F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string"))).isEmpty()
 
 
 def validate_file(spark: SparkSession, path: str, header: tuple[str, str], required: DataFrame, known: DataFrame | None, report: Report) -> DataFrame | None:
@@ -116,8 +114,8 @@ def validate_file(spark: SparkSession, path: str, header: tuple[str, str], requi
         report.errors.append(f"{path} has the header {first.value!r}")
         return None
     rows = parsed_lines(lines)
-    for r in _first_five(broken_rules(rows, required, known)):
-        report.errors.append(f"{path}: {r.rule}: {r.n} ({', '.join(r.examples)})")
+    for r in summary(broken_rules(rows, required, known)).orderBy("rule").collect():  # one row a rule
+        report.errors.append(f"{path}: {r.rule}: {r.n} ({r.examples.replace(',', ', ')})")
     return last_lists(rows)
 
 

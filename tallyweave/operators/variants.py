@@ -11,10 +11,12 @@ from tallyweave.functions import vocabulary as V
 MINED = 50_000
 
 
-def variant_counts(left: DataFrame, right: DataFrame, truth: DataFrame, country: str = "INDIA", most: int = MINED) -> DataFrame:
-    """``(a, b, n)``: true pairs of different names where the left has ``a`` and the right ``b``, zeros included."""
+def variant_counts(left: DataFrame, right: DataFrame, truth: DataFrame, country: str = "INDIA", most: int | None = MINED) -> DataFrame:
+    """``(a, b, n)``: true pairs of different names where the left has ``a`` and the right ``b``, zeros included; ``most`` None mines all labelled records."""
     mine = left.filter(F.col("country_norm") == country).select(F.col("entity_id").alias("s1_id"), F.col("name_norm").alias("x"))
-    labelled = truth.join(mine.select("s1_id"), "s1_id", "left_semi").orderBy("s1_id").limit(most)
+    labelled = truth.join(mine.select("s1_id"), "s1_id", "left_semi")
+    if most is not None:
+        labelled = labelled.orderBy("s1_id").limit(most)
     pairs = labelled.select("s1_id", F.explode("targets").alias("cand_id")).distinct().join(mine, "s1_id").join(right.select(F.col("entity_id").alias("cand_id"), F.col("name_norm").alias("y")), "cand_id")
     pairs = pairs.filter("x <> '' and y <> '' and x <> y")
     held = F.array(*(F.when(F.col("x").contains(a) & F.col("y").contains(b), k) for k, (a, b, _) in enumerate(V.VARIANTS)))

@@ -1,8 +1,9 @@
 """Cut a plan by a table that every executor can read again.
 
 The folder is the session's ``spark.checkpoint.dir``; executors can be lost and
-the cut still holds, which a local checkpoint would not give. Only where that
-setting is unset (tests, notebooks) a folder on this machine is used.
+the cut still holds, which a local checkpoint would not give. Where that setting
+is unset, a session in one process (tests, notebooks) uses a folder of this machine;
+on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for cuts: the cluster's, or a local one where none is named."""
+    """Folder for cuts: the cluster's, or in one process a local one where none is named."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = getattr(shared_folder, "own", None)
         if folder is None:
             folder = shared_folder.own = "file://" + tempfile.mkdtemp(prefix="tallyweave-")

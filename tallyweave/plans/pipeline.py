@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.text import normalized, text_for_retrieval
 from tallyweave.operators import blocking, decide, features, idf, retrieval
+from tallyweave.operators.countries import with_country_keys
 from tallyweave.operators.model import PairEnsemble
 from tallyweave.plans.durable import cut
 from tallyweave.sources import records as io
@@ -32,7 +33,7 @@ def elapsed(since: float) -> str:
 
 
 def candidates(left: DataFrame, right: DataFrame, k: int = 20) -> DataFrame:
-    """Rule candidates and retrieved candidates of normalized records."""
+    """Rule candidates and retrieved candidates of normalized records with their ``country_key``."""
     retrieved = retrieval.tfidf_candidates(left, right, text_for_retrieval(F.col("name_norm"), F.col("address_norm")), k)
     return blocking.hybrid_candidates(blocking.rule_candidates(left, right), retrieved)
 
@@ -51,8 +52,8 @@ def link(left: DataFrame, right: DataFrame, truth: DataFrame, options: Options |
     Matches are made for ``test`` records, or for ``left`` and ``right`` without.
     """
     options = options or Options()
-    left, right = (cut(normalized(d), "normalized") for d in (left, right))
-    test_left, test_right = (cut(normalized(d), "normalized") for d in test) if test else (left, right)
+    every = with_country_keys(*(cut(normalized(d), "normalized") for d in (left, right, *(test or ()))))
+    left, right, test_left, test_right = every if test else every * 2
     texts = left.select("name_norm").union(right.select("name_norm"))
     if test:
         texts = texts.union(test_left.select("name_norm")).union(test_right.select("name_norm"))
@@ -76,12 +77,12 @@ def link(left: DataFrame, right: DataFrame, truth: DataFrame, options: Options |
 def run(spark: SparkSession, data: str, output: str, options: Options | None = None) -> float:
     """Run on the tab-separated tables in ``data`` and write the two result files to ``output``; the threshold."""
     started = time.time()
-    s1, s2, s3 = io.load_all_sources(spark, data, "train")
-    t1, t2, t3 = io.load_all_sources(spark, data, "test")
+    s1, s2, s3 = map(io.require_unique_ids, io.load_all_sources(spark, data, "train"))
+    t1, t2, t3 = map(io.require_unique_ids, io.load_all_sources(spark, data, "test"))
     truth = io.load_ground_truth(spark, f"{data}/train_ground_truth.tsv").select(F.col("source1_entity_id").alias("s1_id"), "targets")
     matches, found, threshold = link(s1, s2.unionByName(s3), truth, options, (t1, t2.unionByName(t3)))
-    io.export_single_file(io.id_lists(found, t1, "candidate_entity_ids"), f"{output}/candidate_pairs.tsv")
-    io.export_single_file(io.id_lists(matches, t1, "matched_entity_ids"), f"{output}/matching_results.tsv")
+    io.export_id_lists(io.id_lists(found, t1, "candidate_entity_ids"), f"{output}/candidate_pairs.tsv")
+    io.export_id_lists(io.id_lists(matches, t1, "matched_entity_ids"), f"{output}/matching_results.tsv")
     print(f"done in {elapsed(started)}; threshold {threshold:.2f}")
     return threshold
 

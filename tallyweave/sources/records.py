@@ -41,6 +41,14 @@ def load_source_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*(clean(F.col(c).cast("string")).alias(c) for c in names)).distinct()
 
 
+def require_unique_ids(records: DataFrame, key: str = "entity_id") -> DataFrame:
+    """``records``, or an error that names some ids met in more than one of its rows; null ids count as one id."""
+    repeated = [r[0] for r in records.groupBy(key).count().filter("count > 1").orderBy(key).select(key).limit(5).collect()]
+    if repeated:
+        raise ValueError(f"{key} is not unique, for example {', '.join(map(str, repeated))}")
+    return records
+
+
 def load_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """Matches of each Source 1 record, as text and as the array ``targets``."""
     df = _tsv(spark, path, TRUTH)
@@ -87,24 +95,29 @@ def id_lists(pairs: DataFrame, left: DataFrame, name: str) -> DataFrame:
 
 
 def export_id_lists(lists: DataFrame, path: str) -> None:
-    """Write id lists as tab-separated text with a header line in every part, ordered by id."""
-    ids, name = lists.columns
-    rows = lists.orderBy(ids).select(F.concat_ws("\t", F.col(ids), F.col(name)).alias("value"))
-    rows.write.mode("overwrite").option("header", False).text(path)
-    with_header = lists.sparkSession.createDataFrame([(f"{ids}\t{name}",)], "value string")
-    with_header.coalesce(1).write.mode("overwrite").text(path + ".header")
-
-
-def export_single_file(lists: DataFrame, path: str) -> None:
-    """Write id lists into one local file, streamed in order, with a header and a newline at the end."""
-    ids, name = lists.columns
-    folder = os.path.dirname(path)
-    if folder:
-        os.makedirs(folder, exist_ok=True)
-    with open(path, "w", encoding="utf-8") as out:
-        out.write(f"{ids}\t{name}\n")
-        for row in lists.orderBy(ids).toLocalIterator():
-            out.write(f"{row[0]}\t{row[1]}\n")
+    """Write id lists, ordered by id, as one tab-separated text file with a header line and a newline at the end.
+
+    Executors write the parts into the shared file system; the file is put together
+    there from the header and the parts in order, without a row passing the driver.
+    """
+    spark, (ids, name) = lists.sparkSession, lists.columns
+    parts = path + ".parts"
+    lists.orderBy(ids).select(F.concat_ws("\t", F.col(ids), F.col(name)).alias("value")).write.mode("overwrite").text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    system = at(path).getFileSystem(conf)
+    out = system.create(at(path), True)
+    try:
+        out.write(bytearray(f"{ids}\t{name}\n".encode()))
+        for name_ in sorted(f.getPath().getName() for f in system.listStatus(at(parts)) if f.getPath().getName().startswith("part-")):
+            part = system.open(at(f"{parts}/{name_}"))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    system.delete(at(parts), True)
 
 
 def export_variants(path: str) -> None:

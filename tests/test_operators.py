@@ -5,13 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import normalized
-from tallyweave.operators import blocking, cluster, decide, features, idf, retrieval
+from tallyweave.operators import blocking, cluster, decide, features, idf, model, retrieval
+from tallyweave.operators.countries import country_keys, with_country_keys
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
 
 
 def records(spark, rows):
-    return normalized(spark.createDataFrame(rows, RECORD))
+    return with_country_keys(normalized(spark.createDataFrame(rows, RECORD)))[0]
 
 
 def two_sides(spark, n=120):
@@ -23,9 +24,10 @@ def two_sides(spark, n=120):
 def test_capped_blocks(spark):
     left, right = two_sides(spark)
     full = {(r.s1_id, r.cand_id, r.key_type, r.key) for r in blocking.capped_candidates(left, right, per_key=10_000).collect()}
-    keys = lambda d: {(r.entity_id, r.country_norm, r.key_type, r.key) for r in blocking.block_keys(d).collect()}
-    brute = {(a, b, t, k) for (a, c, t, k), (b, c2, t2, k2) in itertools.product(keys(left), keys(right)) if (c, t, k) == (c2, t2, k2)}
+    keys = lambda d, right: {(r.entity_id, r.key_type, r.key) for r in blocking.block_keys(d, right).collect()}
+    brute = {(a, b, t, k) for (a, t, k), (b, t2, k2) in itertools.product(keys(left, False), keys(right, True)) if (t, k) == (t2, k2)}
     assert full == brute
+    assert {tuple(r) for r in blocking.capped_candidates(left, right, per_key=None).collect()} == brute
     capped = [tuple(r) for r in blocking.capped_candidates(left, right, per_key=5).collect()]
     assert len(capped) == len(set(capped)) and set(capped) <= full
     per = {}
@@ -189,7 +191,7 @@ def test_retrieval_matches_terms_of_many_records(spark):
 def test_top_by_terms_against_a_join(spark):
     rng = random.Random(5)
     rows = [("IN", side, f"S{side}-{k:03d}", f"t{t}", float(rng.randint(1, 4))) for side, n in ((1, 40), (2, 90)) for k in range(n) for t in {min(int(rng.expovariate(0.3)), 30) for _ in range(5)}]
-    weights = spark.createDataFrame(rows, "country_norm string, side int, entity_id string, term string, w double")
+    weights = spark.createDataFrame(rows, "country string, side int, entity_id string, term string, w double")
     sums = {}
     for (_, s, a, t, u), (_, s2, b, t2, v) in itertools.product(rows, rows):
         if (s, s2, t) == (1, 2, t2):
@@ -197,3 +199,61 @@ def test_top_by_terms_against_a_join(spark):
     ranked = {a: sorted((-x, b) for (l, b), x in sums.items() if l == a)[:7] for a in {a for a, _ in sums}}
     got = {(r.s1_id, r["rank"]): (-r.score, r.cand_id) for r in retrieval.top_by_terms(weights, 7, left_block=15, right_block=20).collect()}
     assert got == {(a, k + 1): x for a, best in ranked.items() for k, x in enumerate(best)}
+
+
+def test_country_keys(spark):
+    rows = [("US",)] * 5 + [("USA",), ("U.S.",), ("India",), ("INDIA",), ("IN",), ("FR",), ("France",), ("Chad",), ("China",), ("CH",), (None,), ("",), ("N/A",)]
+    labels = spark.createDataFrame(rows, "country_norm string")
+    got = {r.label: r.country_key for r in country_keys(labels).collect()}
+    assert got["US"] == got["USA"] == got["U.S."] == "usa" and got["IN"] == got["INDIA"] == "india" and got["FR"] == "france"
+    assert got["CH"] == "ch" and got["Chad"] == "chad" and got[None] == got[""] == got["N/A"] == ""
+
+
+def test_records_without_country_meet_all(spark):
+    rows = lambda side: [(f"{side}-{c or 'none'}", "acme works", "", c) for c in ("US", "usa", "India", "")]
+    left, right = with_country_keys(*(normalized(spark.createDataFrame(rows(s), RECORD)) for s in ("S1", "S2")))
+    got = {(r.s1_id[3:], r.cand_id[3:]) for r in blocking.rule_candidates(left, right, None, None).collect()}
+    one = lambda c: "us" if c in ("US", "usa") else c
+    every = ("US", "usa", "India", "none")
+    assert got == {(a, b) for a in every for b in every if "none" in (a, b) or one(a) == one(b)}
+
+
+def test_most_shared_keys_are_kept(spark):
+    left = records(spark, [("S1-1", "acme textile works", "5 main st 560001", "IN")])
+    right = records(spark, [(f"S2-{k:02d}", "acme other", "", "IN") for k in range(30)] + [("S2-99", "acme textile works", "5 main st 560001", "IN")])
+    assert "S2-99" in {r.cand_id for r in blocking.rule_candidates(left, right, per_record=2).collect()}
+
+
+def test_learning_operators(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(240):
+        y = int(rng.random() < 0.4)
+        rows.append((f"s{k % 60}", f"c{k}", y, k % 60 < 15, "ab"[k % 2], min(1.0, max(0.0, y * 0.7 + rng.random() * 0.3)), rng.random()))
+    matrix = spark.createDataFrame(rows, "s1_id string, cand_id string, label int, is_val boolean, country_key string, name_lev double, addr_lev double")
+    options = {"trees": 3, "depth": 2}
+    held = model.leave_one_country_out(matrix, **options).collect()
+    assert len(held) == len(rows) and all(r.held_out == r.country_key for r in held)
+    assert model.leave_one_country_out(matrix.limit(0)).count() == 0
+    pool = matrix.drop("label", "is_val").withColumns({"s1_id": F.concat(F.lit("u"), "s1_id"), "cand_id": F.concat(F.lit("u"), "cand_id")})
+    ensemble, scores = model.pseudo_label_rounds(matrix, pool, **options)
+    assert 2 <= len(scores) <= 3 and all(0 <= s <= 1 for s in scores) and ensemble.members
+    full = model.PairEnsemble(**options).fit(matrix)
+    more = model.pseudo_labelled(matrix, full.score(pool), sure=0.5, unsure=0.5)
+    assert {r.pair_weight for r in more.select("pair_weight").distinct().collect()} == {0.5, 1.0}
+    light = model.PairEnsemble(**options).fit(matrix.withColumn("pair_weight", F.when(F.col("label") == 1, 1e-6).otherwise(1.0)))
+    top = lambda e: e.score(matrix).agg(F.avg("proba")).first()[0]
+    assert top(light) < top(full)
+    scored = full.score(matrix)
+    calibrated = model.calibrated(scored, scored).orderBy("proba").collect()
+    assert all(x.proba_calibrated <= y.proba_calibrated + 1e-9 for x, y in itertools.pairwise(calibrated))
+
+
+def test_cluster_split_and_seeds(spark):
+    truth = spark.createDataFrame([(f"a{k:02d}", [f"c{k // 2}", f"d{k}"]) for k in range(40)] + [("z", [])], "s1_id string, targets array<string>")
+    rows = {r.s1_id: r for r in cluster.cluster_split(truth, 0.5).collect()}
+    assert len(rows) == 41 and {r.is_val for r in rows.values()} == {True, False}
+    assert all(rows[f"a{k:02d}"].is_val == rows[f"a{k + 1:02d}"].is_val for k in range(0, 40, 2))
+    scored = spark.createDataFrame([(f"a{k:02d}", f"d{k}", 0.9) for k in range(40)], "s1_id string, cand_id string, score double")
+    out = {r.seed: r for r in decide.averaged_over_seeds(scored, truth, 0.5).collect()}
+    assert set(out) == {"42", "43", "44", "mean"} and out["mean"].records == sum(out[s].records for s in ("42", "43", "44"))

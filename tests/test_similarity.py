@@ -1,6 +1,8 @@
 from difflib import SequenceMatcher
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyweave.functions import similarity as S
@@ -66,3 +68,9 @@ def test_jaro_winkler():
     assert S.jaro_winkler("martha", "marhta") == pytest.approx(0.9611111)
     assert S.jaro_winkler("dixon", "dicksonx") == pytest.approx(0.8133333)
     assert S.jaro_winkler("", "") == 0.0 and S.jaro_winkler("a", "") == 0.0
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="abc é", max_size=40), st.text(alphabet="abc é", max_size=40))
+def test_matching_ratio_equals_the_library(a, b):
+    assert S.matching_ratio(a, b) == SequenceMatcher(None, a, b).ratio()

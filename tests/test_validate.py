@@ -71,5 +71,5 @@ def test_export(spark, tmp_path):
     left = spark.createDataFrame([("S1-2",), ("S1-1",)], "entity_id string")
     pairs = spark.createDataFrame([("S1-1", "S3-1"), ("S1-1", "S2-1"), ("S1-1", "S2-1")], "s1_id string, cand_id string")
     path = tmp_path / "out" / "m.tsv"
-    io.export_single_file(io.id_lists(pairs, left, "matched_entity_ids"), str(path))
+    io.export_id_lists(io.id_lists(pairs, left, "matched_entity_ids"), str(path))
     assert path.read_text() == MATCH + "S1-1\tS2-1,S3-1\nS1-2\t\n"
