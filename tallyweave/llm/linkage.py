@@ -14,31 +14,34 @@ from pyspark.sql.window import Window
 
 from tallyweave.llm import records
 from tallyweave.llm.arrow import map_rows
+from tallyweave.llm.vocabulary import learn
 from tallyweave.plans.durable import cut
 
-#: A key of more left rows than this is only used together with a second key.
+#: A key of more rows than this on either side is split by the house or trade of its rows.
 HOT = 64
 #: Rows of a side of a hot key that meet the other side's in one part of a join, about.
 PART = 2_000
 
 
-def parsed(tables: dict[str, DataFrame], keys: Callable[[str, str, str], list[int]] | None = None) -> DataFrame:
+def parsed(tables: dict[str, DataFrame], keys: Callable[[str, str, str], list[int]] | None = None, names: bool = True, addresses: bool = True, vocabulary: records.Vocabulary | None = None) -> DataFrame:
     """``(src, id, n, a, country)`` of all tables, distinct, written once.
 
-    ``n`` and ``a`` are the codes of :mod:`records`, '' for a missing text. With
-    ``keys``, a function of src, n and a, the column ``keys`` is added. Rows
-    without an id are left out; repeated rows of an id are one record, and rows
+    ``n`` and ``a`` are the codes of :mod:`records`, '' for a missing text and where
+    ``names`` or ``addresses`` are not wanted; ``vocabulary`` is learnt from the tables
+    unless one is given. With ``keys``, a function of src, n and a, the column ``keys`` is added.
+    Rows without an id are left out; repeated rows of an id are one record, and rows
     of one id with different texts are compared in each of their forms.
     """
-    texts = ("business_name", "business_address", "country")
-    each = [t.select(F.lit(src).alias("src"), F.col("entity_id").cast("string").alias("id"), *(F.col(c).cast("string") for c in texts)) for src, t in tables.items()]
+    words = learn(list(tables.values()), names, addresses) if vocabulary is None else vocabulary
+    texts = {"business_name": names, "business_address": addresses, "country": True}
+    each = [t.select(F.lit(src).alias("src"), F.col("entity_id").cast("string").alias("id"), *((F.col(c) if wanted else F.lit(None)).cast("string").alias(c) for c, wanted in texts.items())) for src, t in tables.items()]
     every = reduce(DataFrame.unionByName, each).filter("id is not null").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             src, ids, *columns = batch.columns
-            names, addresses, countries = (c.to_pylist() for c in columns)
-            n, a = list(map(records.name_code, names)), list(map(records.address_code, addresses))
+            typed, placed, countries = (c.to_pylist() for c in columns)
+            n, a = [records.name_code(x, words) for x in typed], [records.address_code(x, words) for x in placed]
             out = [src, ids, pa.array(n, pa.string()), pa.array(a, pa.string()), pa.array(map(records.country_code, countries), pa.string())]
             if keys:
                 own = list(map(keys, src.to_pylist(), n, a))
@@ -54,54 +57,19 @@ def part(code: str, k: int) -> Column:
     return F.substring_index(F.substring_index(F.col(code), "|", k), "|", -1)
 
 
-def selective_keys(left: DataFrame, right: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """``(id, key)`` of both sides from rows ``(id, keys)``.
-
-    A key held by more than ``hot`` rows of ``left`` counts only together with a
-    second key of the same row, and a pair of keys as hot as that only with a
-    third, so one key, or two, can hold any part of the rows. A row whose only
-    keys are hot tells nothing apart and meets nobody.
-    """
-    exploded = lambda d, *more: d.select("id", *more, F.explode("keys").alias("key"))
-    many = cut(exploded(left).groupBy("key").count().filter(F.col("count") > hot).select("key"), "hot")
-    if many.isEmpty():
-        return exploded(left), exploded(right)
-
-    def longer(rows: DataFrame) -> DataFrame:
-        """Rows ``(id, keys, used)`` with every further key of the row added to ``used``."""
-        more = F.transform(F.array_except("keys", "used"), lambda k: F.array_sort(F.concat("used", F.array(k))))
-        out = rows.select("id", "keys", F.explode(more).alias("used")).distinct()
-        return cut(out.select("id", "keys", "used", F.xxhash64("used").alias("key")), "keys")
-
-    # Only the rows of hot keys are rewritten; the others pass as they are.
-    cold = [exploded(d).join(many, "key", "left_anti").select("id", "key") for d in (left, right)]
-    pairs = [longer(exploded(d, "keys").join(many, "key", "left_semi").withColumn("used", F.array("key"))) for d in (left, right)]
-    crowded = cut(pairs[0].groupBy("key").agg(F.count_distinct("id").alias("n")).filter(F.col("n") > hot).select("key"), "hot")
-    if crowded.isEmpty():
-        return tuple(c.unionByName(p.select("id", "key")) for c, p in zip(cold, pairs, strict=True))
-    triples = [longer(p.join(crowded, "key", "left_semi")) for p in pairs]
-    rest = [p.join(crowded, "key", "left_anti").select("id", "key") for p in pairs]
-    return tuple(c.unionByName(p).unionByName(t.select("id", "key")) for c, p, t in zip(cold, rest, triples, strict=True))
-
-
-def candidate_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFrame:
-    """Distinct ``(l, r)`` of rows ``(id, keys)`` that share a key, hot keys as in :func:`selective_keys`."""
-    a, b = selective_keys(left, right, hot)
-    return a.withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r").distinct()
-
-
 def whole_keys(left: DataFrame, right: DataFrame, hot: int = HOT, texts: int = PART, reads: int = PART) -> tuple[DataFrame, DataFrame]:
     """``(id, key)`` of both sides from rows ``(id, keys, house)``, so that all rows that share a key and don't contradict share a key here.
 
     ``house`` is a part of a row, such as the house or the trade, in which rows must
     not contradict: '' where it is missing, null where the row meets only rows
     with null (:func:`overlap.same_record` wants both addresses or none). A key of
-    more than ``hot`` left rows is split by it: equal parts meet, and rows without
+    more than ``hot`` rows of a side is split by it: equal parts meet, and rows without
     it meet all. What then still has more than ``texts`` left or ``reads`` right
     rows is split into parts of both sides, every left part meeting every right one.
     """
     exploded = lambda d: d.select("id", "house", F.explode("keys").alias("key"))
-    many = cut(exploded(left).groupBy("key").count().filter(F.col("count") > hot).select("key"), "hot")
+    counts = [exploded(d).groupBy("key").count() for d in (left, right)]
+    many = cut(reduce(DataFrame.union, [c.filter(F.col("count") > hot).select("key") for c in counts]).distinct(), "hot")
     if many.isEmpty():
         return exploded(left).select("id", "key"), exploded(right).select("id", "key")
     cold = [exploded(d).join(many, "key", "left_anti").select("id", "key") for d in (left, right)]
@@ -140,20 +108,33 @@ def with_codes(pairs: DataFrame, left: DataFrame, right: DataFrame, columns: tup
 # ---------------------------------------------------------------- one business in several sources
 
 
+#: Least log odds of a candidate pair; below, the pair is as unlikely as any two records of a country.
+UNLIKELY = -9.0
+
+
 def match_weight(n1: str, a1: str, n2: str, a2: str, c1: str = "", c2: str = "") -> float | None:
-    """Log odds that two records are one business by themselves; None where they contradict each other."""
+    """Log odds that two records are one business by themselves; None where they are no candidates.
+
+    A contradicting part of the place makes a pair unlikely, not impossible: it stays a rival of
+    the other candidates of its records. Another country, trade or number ends a pair.
+    """
     if c1 and c2 and c1 != c2:
         return None
     name, place = records.name_cost(n1, n2), records.address_evidence(a1, a2)
-    if name == 9.0 or place is not None and place[0] < 0 or name is None and place is None:
+    if name == 9.0 or name is None and place is None:
         return None
     if name is None:
         return 2.0 * (place[0] - 2.6) if place[1] >= 2 else None
-    if place is None:
-        return 2.5 - 3.5 * name if name < 0.8 else None
-    if name >= 1.3 or name >= 0.9 and place[0] < 2.5:
+    if name >= 1.3:
         return None
-    return 3.0 - 4.0 * name + 1.2 * (place[0] - 1.0)
+    if place is None:
+        return 2.5 - 3.5 * name - (2.0 if name >= 0.8 else 0.0)
+    weight = 3.0 - 4.0 * name + 1.2 * (place[0] - 1.0)
+    if place[0] < 0:
+        weight = -3.0 - 4.0 * name + place[0]
+    elif name >= 0.9 and place[0] < 2.5:
+        weight -= 2.0
+    return weight
 
 
 def _contradict() -> Column:
@@ -178,15 +159,14 @@ def capacity(labelled: DataFrame, sample: int = 5_000) -> list[float]:
     return [(counts.get(k, 0.0) + 0.5) / total for k in range(top + 2)]
 
 
-def belief_matches(parsed_rows: DataFrame, left_src: str, right_srcs: list[str], sizes: list[float], rounds: int = 8, tolerance: float = 0.01) -> DataFrame:
-    """``(l, r, probability)``: marginal match probability of every candidate pair of :func:`parsed` rows with their :func:`belief_keys`.
+def belief_matches(parsed_rows: DataFrame, left_src: str, right_srcs: list[str], sizes: list[float], rounds: int = 60, tolerance: float = 0.01) -> DataFrame:
+    """``(l, r, probability, prior)``: marginal match probability of every candidate pair of :func:`parsed` rows with their
+    :func:`belief_keys`, and the probability the pair has by itself.
 
     Factors: a right record belongs to one left record or to none; a left record
     has as many right records as ``sizes`` makes likely (Sources 2 and 3 may hold
     several records of a business, so its side of the one-to-one factor is a soft
-    count). Messages between the two are exchanged by grouped joins over the
-    contested pairs until no message moves by ``tolerance``, at most ``rounds``
-    times. Pairs whose right record has no second candidate enter as constants.
+    count).
     """
     left = parsed_rows.filter(F.col("src") == left_src)
     right = parsed_rows.filter(F.col("src").isin(right_srcs))
@@ -197,33 +177,56 @@ def belief_matches(parsed_rows: DataFrame, left_src: str, right_srcs: list[str],
     def rows(ls, rs, n1, a1, c1, n2, a2, c2):
         for x in zip(ls, rs, n1, a1, n2, a2, c1, c2, strict=True):
             w = match_weight(*x[2:])
-            if w is not None and w > -3:
+            if w is not None and w > UNLIKELY:
                 yield x[0], x[1], w
 
     picked = full.select("l", "r", "n_l", "a_l", "country_l", "n_r", "a_r", "country_r")
     weighted = map_rows(picked, rows, "l string, r string, w double")
-    rival = F.count("*").over(Window.partitionBy("r")) > 1
-    edges = cut(weighted.withColumn("contested", rival), "edges", None)
-
-    sure = edges.filter(~F.col("contested")).withColumn("p", 1 / (1 + F.exp(-F.col("w"))))
-    base = sure.groupBy("l").agg(F.sum("p").alias("base"))
-    state = edges.filter("contested").join(base, "l", "left").select("l", "r", "w", F.coalesce("base", F.lit(0.0)).alias("base"), F.lit(0.0).alias("m"))
+    # A record with different texts is compared in each of its forms; its best one counts.
+    edges = weighted.groupBy("l", "r").agg(F.max("w").alias("w"))
     # Log ratio of having one match more, by the number expected without it.
     ratio = [math.log(sizes[k + 1] / sizes[k]) - math.log(sizes[1] / sizes[0]) for k in range(len(sizes) - 1)]
-    gain = F.element_at(F.array(*map(F.lit, [min(0.0, x) for x in ratio])), F.least(F.floor("others") + 1, F.lit(len(ratio))).cast("int"))
+    found = propagated(edges, [min(0.0, x) for x in ratio], rounds, tolerance)
+    return found.select("l", "r", "probability", _probability(F.col("w")).alias("prior"))
+
+
+def _probability(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-odds))
+
+
+def propagated(edges: DataFrame, gains: list[float], rounds: int = 60, tolerance: float = 0.01) -> DataFrame:
+    """``(l, r, w, probability)``: marginals of ``edges (l, r, w)`` by loopy belief propagation.
+
+    A right record's message to a left one is what its other candidates leave of it;
+    a left record's message to a right one is the gain of one match more at the number
+    expected without it (``gains``, between whole numbers in proportion). Both are
+    exchanged by grouped joins until no message moves by ``tolerance``; later rounds
+    move half the way, so that messages can't swing, and more than ``rounds`` are an error.
+    A pair of two records without other candidates gets no message but zero, and is
+    at its fixed point from the start.
+    """
+    by_l, by_r = Window.partitionBy("l"), Window.partitionBy("r")
+    crowd = edges.withColumn("at_l", F.count("*").over(by_l)).withColumn("at_r", F.count("*").over(by_r))
+    start = cut(crowd.select("l", "r", "w", F.lit(0.0).alias("m"), ((F.col("at_l") == 1) & (F.col("at_r") == 1)).alias("alone")), "edges")
+    table = F.array(*map(F.lit, [gains[0], *gains, gains[-1]][1:]))
+    whole = F.least(F.floor("others"), F.lit(len(gains) - 1)).cast("int")
+    step = F.col("others") - whole
+    gain = F.element_at(table, whole + 1) + F.least(step, F.lit(1.0)) * (F.element_at(table, whole + 2) - F.element_at(table, whole + 1))
     odds = F.exp(F.least(F.col("w") + F.col("m"), F.lit(50.0)))
-    all_odds = F.sum(odds).over(Window.partitionBy("r"))
-    for _ in range(rounds):
-        # From the right records: what their other candidates leave; then from the left records.
-        seen = state.withColumn("p", odds / (1 + all_odds))
-        held = F.sum("p").over(Window.partitionBy("l")) - F.col("p") + F.col("base")
-        moved = seen.withColumn("others", held).withColumn("new", 0.5 * F.col("m") + 0.5 * gain)
-        moved = cut(moved.select("l", "r", "w", "base", F.col("new").alias("m"), F.abs(F.col("new") - F.col("m")).alias("move")), "messages")
+    claimed = odds / (1 + F.sum(odds).over(by_r))
+    state, last = start.filter("not alone").drop("alone"), None
+    for done in range(rounds):
+        rate = 1.0 if done < 4 else 0.5
+        seen = state.withColumn("p", claimed).withColumn("others", F.greatest(F.sum("p").over(by_l) - F.col("p"), F.lit(0.0)))
+        moved = cut(seen.select("l", "r", "w", (F.col("m") + rate * (gain - F.col("m"))).alias("m"), F.abs(gain - F.col("m")).alias("move")), "messages")
         state = moved.drop("move")
-        if (moved.agg(F.max("move")).first()[0] or 0.0) < tolerance:
+        last = moved.agg(F.max("move")).first()[0] or 0.0
+        if last < tolerance:
             break
-    contested = state.select("l", "r", (odds / (1 + all_odds)).alias("probability"))
-    return contested.unionByName(sure.select("l", "r", F.col("p").alias("probability")))
+    else:
+        raise RuntimeError(f"messages still move by {last} after {rounds} rounds")
+    contested = state.select("l", "r", "w", claimed.alias("probability"))
+    return contested.unionByName(start.filter("alone").select("l", "r", "w", _probability(F.col("w")).alias("probability")))
 
 
 # ---------------------------------------------------------------- one place, written differently
@@ -231,7 +234,7 @@ def belief_matches(parsed_rows: DataFrame, left_src: str, right_srcs: list[str],
 
 def place_code(a: str = "a") -> Column:
     """Address code without the unit, which does not tell buildings apart."""
-    return F.concat(F.substring_index(F.col(a), "|", 4), F.lit("||"), part(a, 6))
+    return F.concat(F.substring_index(F.col(a), "|", 4), F.lit("|"))
 
 
 def same_place(a: str, b: str) -> float | None:
@@ -340,7 +343,7 @@ def attributed_spellings(parsed_rows: DataFrame, tidy_src: str, typed_src: str)
     up = scored.groupBy("l").agg(F.max(F.struct(F.col("gain"), F.col("r"))).alias("best")).select(F.col("l").alias("n"), F.col("best.r").alias("root"))
     links = cut(up, "links")
     # Each doubling halves the way to the end; ranks fall along a link, so there are no cycles.
-    for _ in range(4):
+    while True:
         nxt = links.select(F.col("n").alias("root"), F.col("root").alias("beyond"))
         links = cut(links.join(nxt, "root", "left").select("n", F.coalesce("beyond", "root").alias("root")), "links")
         if links.select("root").join(links.select(F.col("n").alias("root")), "root", "left_semi").isEmpty():

@@ -20,8 +20,6 @@ COVERAGE = 0.3
 SHARD_TEXTS = 20_000
 #: Training texts of a hot key that one task scans, about.
 SHARD_READS = 100_000
-#: Proposals above which a bound of their coverage is taken for all of them at once.
-FEW = 64
 
 
 def normal_text(n: str, a: str) -> str:
@@ -73,13 +71,7 @@ class Scanner:
         if every:
             self.automaton.make_automaton()
         self.house = np.array([a.partition("|")[0] for _, _, a in texts], dtype=object)
-        self.least = np.array(self.sizes, dtype=np.int64)
         self.anchored = {p: np.array(own) for p, own in self.postings.items()}
-        holders: dict[str, list[int]] = {}
-        for k, own in enumerate(self.of):
-            for p in own:
-                holders.setdefault(p, []).append(k)
-        self.holders = {p: np.array(own) for p, own in holders.items()}
 
     def scan(self, text: str, house: str = "") -> Iterator[tuple[int, float]]:
         """Evaluation texts whose passages cover enough of ``text`` or of themselves.
@@ -94,12 +86,6 @@ class Scanner:
         if not own:
             return
         proposed = np.unique(np.concatenate(own))
-        if len(proposed) > FEW:
-            # Spans may overlap, so their sum is an upper bound of what they cover.
-            bound = np.zeros(len(self.texts))
-            for p, spans in found.items():
-                bound[self.holders[p]] += sum(high - low for low, high in spans)
-            proposed = proposed[bound[proposed] >= COVERAGE * np.minimum(len(text), self.least[proposed]) - 1e-9]
         if house:
             theirs = self.house[proposed]
             proposed = proposed[(theirs == house) | (theirs == "")]

@@ -46,16 +46,16 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_probabilities(spark: SparkSession, folder: str) -> DataFrame:
-    return _beliefs(spark, folder).select(F.col("l").alias("source1_entity_id"), F.col("r").alias("candidate_entity_id"), "probability")
+    return _beliefs(spark, folder).select(F.col("l").alias("source1_entity_id"), F.col("r").alias("candidate_entity_id"), "probability", "prior")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = linkage.same_address(_parsed(spark, folder, "train_source1", "train_source2"), "train_source1", "train_source2")
+    pairs = linkage.same_address(_parsed(spark, folder, "train_source1", "train_source2", names=False), "train_source1", "train_source2")
     return pairs.select(F.col("l").alias("source1_entity_id"), F.col("r").alias("source2_entity_id"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = linkage.same_name(_parsed(spark, folder, "train_source1", "train_source2"), "train_source1", "train_source2")
+    pairs = linkage.same_name(_parsed(spark, folder, "train_source1", "train_source2", addresses=False), "train_source1", "train_source2")
     return pairs.select(F.col("l").alias("source1_entity_id"), F.col("r").alias("source2_entity_id"))
 
 

@@ -1,8 +1,9 @@
 """Parse names and addresses typed by people into comparable parts.
 
 ``parse_name`` gives the words of an organisation's own name, its trade and its
-number; ``parse_address`` gives house, street, town, postcode and unit. Both are
-pure functions of one text and never fail: a null, an empty text and a
+number; ``parse_address`` gives house, street, town, postcode and unit. Which words
+are trades, given names or no places says a :class:`Vocabulary`, learnt from the tables
+in :mod:`vocabulary`. Both are pure functions of one text and it, and never fail: a null, an empty text and a
 placeholder give ``None``.
 """
 
@@ -18,130 +19,29 @@ from tallyweave.llm.lookalikes import fold
 # Placeholders that stand for a missing text.
 PLACEHOLDERS = frozenset("n/a na n.a. n.a - -- --- . ? none null nil unknown not available not known tbd xxx".split()) | {"not available", "not known", ""}
 
-# Trades and their usual abbreviations, one trade a line.
-TRADES = """
-agencies agys agency
-auto repair rpr
-bakery bkry
-cafe
-chemicals chem
-construction constr
-consultancy conslt
-creperie
-dental clinic clnc
-electronics elec
-engineering engg
-finance fin
-foods fds
-furniture furn
-garments gmts
-hardware hdwe
-insurance ins
-jewellers jwlrs
-laundry lndry
-management mgmt
-manufacturing mfg
-marketing mktg
-medical med centre ctr center
-motors mtrs
-nursery nsy
-office off supplies suppl
-packaging pkg
-patisserie
-pharmacy phcy
-plumbing plbg
-printing prtg press
-public pub school sch
-refrigeration refrig
-salon sln
-senor grill
-steel stl works wks
-textiles txtls
-transport transp
-travel trvl bureau bur
-veterinary vet hospital hosp
-"""
-
 # Legal forms, joining words and other words that do not tell organisations apart.
 FORMS = """inc incorporated llc ltd limited pvt private company co corp corporation group grp sons son bros brothers
 traders trading trdrs enterprises enterprise entp sarl sas sa et fils and n p the dba ms messrs branch outlet unit main br no number de"""
 
-# Words often put before a name, and given names with their short and variant forms, one name a line.
-PREFIXES = "shree sri shri new royal grand national united modern universal golden global city sunrise blue star"
-GIVEN = """
-william will bill
-richard rick dick
-robert rob bob
-elizabeth liz beth
-margaret peggy maggie
-katherine kate kathy
-theodore ted theo
-susannah sue susie
-josephine jo josie
-benjamin ben benny
-francisco paco frank
-alexander alex sandy
-mohammed mohd md
-rajendra raju rajinder
-sanjeev sanju sanjiv
-deepika dipu dipika
-lakshmi laxmi lachmi
-krishnan krish kittu
-gurpreet guri gurprit
-venkatesh venky wenkatesh
-subramaniam subbu subramanyam
-chandrika chandu candrika
-guillaume guy
-dominique domi dom
-christophe chris totophe
-elisabeth lise babette
-genevieve viviane gen
-frederic fred fredo
-"""
-
-# Words of addresses that name no place: kinds of street and their abbreviations, directions,
-# units, states and their short forms, landmarks and parts of towns.
+# Kinds of street and their abbreviations, directions, units, labels of house numbers, words before a landmark.
 STREET_KINDS = """street st str road rd lane ln la drive dr drv avenue ave av boulevard blvd boul bd court ct crt highway hwy hiway parkway pkwy pky
 colony col cly marg mg chowk chk chauk nagar ngr ng sector sec sect galli rue chemin chem ch place pl"""
 DIRECTIONS = "north south east west n s e w so no"
 UNITS = "unit apt suite ste flat shop"
 LABELS = "no plot door h hno house number plotno"
-STATES = """
-oh ohio
-vt vermont
-or oregon
-tx texas
-il illinois
-ga georgia
-nm mexico
-uttar pradesh
-gujarat
-karnataka
-kerala
-maharashtra
-tamil nadu
-"""
+BESIDE = "near nr opp opposite behind beside adj adjacent next to above facing floor flr"
+# Country names and their short forms.
 COUNTRIES = """
 us usa
 in india ind bharat
 fr france fra
 """
-LANDMARKS = """near nr opp opposite behind beside adj adjacent next to above facing bus stand clock tower water tank fire station railway crossing
-city hospital central mall old temple post office bank atm floor flr gr nd rd th ground"""
-PARTS = """residence enclave park sao bento industrial area civil lines lower bazaar extn market phase ii block c mill district quay westgate harbor row
-canada flats pinon heights quartier ecluse zone artisanale cite haute pre new de la le les du des l d"""
-
-_trade_of: dict[str, int] = {}
-for _k, _line in enumerate(TRADES.strip().split("\n")):
-    for _w in _line.split():
-        _trade_of[_w] = _k
-_given_of = {w: k for k, line in enumerate(GIVEN.strip().split("\n")) for w in line.split()}
-_prefix_of = {w: 100 + k for k, w in enumerate(PREFIXES.split())} | {"sri": 100, "shri": 100}
-_forms = frozenset(FORMS.split())
-_kinds, _directions, _units, _labels = (frozenset(x.split()) for x in (STREET_KINDS, DIRECTIONS, UNITS, LABELS))
-_state_of = {w: str(k) for k, line in enumerate(STATES.strip().split("\n")) for w in line.split()}
+
+FORM_WORDS = frozenset(FORMS.split())
+_kinds, _directions, _units, _labels, _beside = (frozenset(x.split()) for x in (STREET_KINDS, DIRECTIONS, UNITS, LABELS, BESIDE))
 _country_of = {w: line.split()[0] for line in COUNTRIES.strip().split("\n") for w in line.split()}
-_other = frozenset([*_state_of, *LANDMARKS.split(), *PARTS.split(), "cedex", "usa", "india", "france"])
+#: Words of addresses whose kind is not learnt.
+FIXED_WORDS = frozenset([*_kinds, *_directions, *_units, *_labels])
 
 
 def deletions(word: str) -> set[str]:
@@ -171,10 +71,6 @@ def _near_index(words) -> dict[str, list[str]]:
     return found
 
 
-_name_near = _near_index([*_trade_of, *_given_of, *_prefix_of, *(w for w in _forms if len(w) > 6)])
-_address_near = _near_index([*(w for w in _kinds if len(w) > 5), *(w for w in _other if len(w) > 5)])
-
-
 def _nearest(word: str, near: dict[str, list[str]]) -> str:
     found = near.get(word)
     if found is None:
@@ -220,41 +116,86 @@ _OWN, _TRADE, _GIVEN, _FORM, _LETTER = range(5)
 _KIND, _UNIT, _LABEL, _DIRECTION, _OTHER, _PLACE = range(5, 11)
 
 
-@lru_cache(maxsize=400_000)
-def _name_word(word: str) -> tuple[int, int | str]:
-    for x in (word,) if len(word) < 5 else (word, _nearest(word, _name_near)):
-        if x in _trade_of:
-            return _TRADE, _trade_of[x]
-        if x in _prefix_of:
-            return _GIVEN, _prefix_of[x]
-        if x in _given_of:
-            return _GIVEN, _given_of[x]
-        if x in _forms:
-            return _FORM, x
-    return (_LETTER if len(word) == 1 else _OWN), sound(word)
-
-
-@lru_cache(maxsize=400_000)
-def _address_word(word: str) -> tuple[int, str, str]:
-    for x in (word,) if len(word) < 6 else (word, _nearest(word, _address_near)):
-        if x in _units:
-            return _UNIT, x, ""
-        if x in _labels:
-            return _LABEL, x, ""
-        if x in _kinds:
-            return _KIND, x, ""
-        if x in _directions:
-            return _DIRECTION, x, ""
-        if x in _other:
-            return _OTHER, x, _state_of.get(x, "")
-    return (_OTHER if len(word) < 3 else _PLACE), sound(word), ""
-
-
-def parse_name(text: str | None) -> tuple[list[str], int, int, int] | None:
-    """``(words, trade, number, given)`` of a name; -1 for a part that is not there.
+class Vocabulary:
+    """Kinds of words, found once for each distinct word of a worker: trades and given names by class, words of addresses that name no place.
+
+    Misspelt longer words count as the word they are one edit away from. Without
+    learnt words every word is an own word or a place.
+    """
+
+    MOST = 400_000  # words remembered at once
+
+    def __init__(self, trades: tuple, givens: tuple, spread: tuple):
+        self.trades, self.givens = dict(trades), dict(givens)
+        self.other = frozenset([*spread, *_beside, "cedex", *(w for w in _country_of if len(w) > 2)])
+        self.name_near = _near_index([*self.trades, *self.givens, *(w for w in FORM_WORDS if len(w) > 6)])
+        self.address_near = _near_index([*(w for w in _kinds if len(w) > 5), *(w for w in self.other if len(w) > 5)])
+        self.names: dict[str, tuple] = {}
+        self.places: dict[str, tuple] = {}
+        self.made = trades, givens, spread
+
+    @classmethod
+    def of(cls, trades: dict[str, str], givens: dict[str, str], spread=()) -> Vocabulary:
+        return _vocabulary(tuple(sorted(trades.items())), tuple(sorted(givens.items())), tuple(sorted(spread)))
+
+    def __reduce__(self):
+        return _vocabulary, self.made
+
+    def name_word(self, word: str) -> tuple[int, str]:
+        found = self.names.get(word)
+        if found is None:
+            if len(self.names) >= self.MOST:
+                self.names.clear()
+            found = self.names[word] = self._name_word(word)
+        return found
+
+    def _name_word(self, word: str) -> tuple[int, str]:
+        for x in (word,) if len(word) < 5 else (word, _nearest(word, self.name_near)):
+            if x in FORM_WORDS:
+                return _FORM, x
+            if x in self.trades:
+                return _TRADE, self.trades[x]
+            if x in self.givens:
+                return _GIVEN, self.givens[x]
+        return (_LETTER if len(word) == 1 else _OWN), sound(word)
+
+    def address_word(self, word: str) -> tuple[int, str]:
+        found = self.places.get(word)
+        if found is None:
+            if len(self.places) >= self.MOST:
+                self.places.clear()
+            found = self.places[word] = self._address_word(word)
+        return found
+
+    def _address_word(self, word: str) -> tuple[int, str]:
+        for x in (word,) if len(word) < 6 else (word, _nearest(word, self.address_near)):
+            if x in _units:
+                return _UNIT, x
+            if x in _labels:
+                return _LABEL, x
+            if x in _kinds:
+                return _KIND, x
+            if x in _directions:
+                return _DIRECTION, x
+            if x in self.other:
+                return _OTHER, sound(x)
+        return (_OTHER if len(word) < 3 else _PLACE), sound(word)
+
+
+@lru_cache(maxsize=16)
+def _vocabulary(trades: tuple, givens: tuple, spread: tuple) -> Vocabulary:
+    """One vocabulary of the same words in a process, so that its tasks share what was found."""
+    return Vocabulary(trades, givens, spread)
+
+
+NOTHING = Vocabulary.of({}, {})
+
+
+def parse_name(text: str | None, vocabulary: Vocabulary = NOTHING) -> tuple[list[str], str, str, str] | None:
+    """``(words, trade, number, given)`` of a name; '' for a part that is not there.
 
     ``words`` are the own words in order, in sound form, single letters included
-    where they stand for a word.
+    where they stand for a word. A name of given names only has those for own words.
     """
     if text is None:
         return None
@@ -269,24 +210,27 @@ def parse_name(text: str | None) -> tuple[list[str], int, int, int] | None:
         low = _initials.sub(r"\1", low)
     if "'" in low:
         low = low.replace("'", "")
-    words, trade, number, given, shorts = [], -1, -1, -1, []
+    words, trade, number, givens, shorts = [], "", "", [], []
+    name_word = vocabulary.name_word
     for w in _name_split.findall(low):
         if w[0] <= "9":
-            number = int(w[:9])
+            number = w.lstrip("0") or "0"
             continue
-        kind, x = _name_word(w)
+        kind, x = name_word(w)
         if kind == _OWN:
             words.append(x)
         elif kind == _TRADE:
             trade = x
         elif kind == _GIVEN:
-            given = x if x < 100 or given < 0 else given
+            givens.append(x)
         elif kind == _LETTER:
             shorts.append((len(words), x))
     if len(words) < 2 and shorts:
         for at, x in shorts[::-1]:
             words.insert(at, x)
-    return words, trade, number, given
+    if not words and givens:
+        words, givens = [sound(x) for x in givens], []
+    return words, trade, number, givens[-1] if givens else ""
 
 
 _address_split = re.compile(r"[a-z]+|\d+[a-z]?\b|\d+|[,;/#()]|-")
@@ -298,8 +242,11 @@ def _ordinal_hint(low: str) -> bool:
     return "fl" in low
 
 
-def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str] | None:
-    """``(house, street words, town, postcode, unit, state)`` in sound form; '' or [] for a part that is not there."""
+def parse_address(text: str | None, vocabulary: Vocabulary = NOTHING) -> tuple[str, list[str], str, str, str] | None:
+    """``(house, street words, town, postcode, unit)`` in sound form; '' or [] for a part that is not there.
+
+    Words that name no place part the others into runs; where no run is left, they stand for the street themselves.
+    """
     if text is None:
         return None
     low = fold(text).strip()
@@ -313,7 +260,9 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
         low = low.replace("sur-loue", "surloue")
     if _ordinal_hint(low):
         low = _ordinal.sub(",", low)
-    post = unit = state = ""
+    post = unit = ""
+    idle: list[str] = []
+    address_word = vocabulary.address_word
     runs: list[tuple[str, list[str], bool]] = []  # number before, words, whether a kind of street follows
     run: list[str] = []
     before = number = label = ""
@@ -321,7 +270,7 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
     for k, w in enumerate(tokens):
         first = w[0]
         if first >= "a":
-            kind, x, of = _address_word(w)
+            kind, x = address_word(w)
             if kind == _PLACE:
                 if not run:
                     before, number = number, ""
@@ -338,7 +287,8 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
                     label = "label"
             elif kind == _OTHER:
                 number = label = ""
-                state = of or state
+                if len(x) > 2 and w not in _beside:
+                    idle.append(x)
             continue
         if run:
             runs.append((before, run, False))
@@ -361,7 +311,7 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
     if run:
         runs.append((before, run, False))
     if not runs:
-        return number, [], "", post, unit, state
+        return number, idle[:2], "", post, unit
     # The street is the run after the house number, else one before a kind of street, else the first pair.
     best = max(range(len(runs)), key=lambda k: (bool(runs[k][0]) * 2 + runs[k][2] + (len(runs[k][1]) > 1), -k)) if len(runs) > 1 else 0
     before, street, kind = runs[best]
@@ -372,7 +322,7 @@ def parse_address(text: str | None) -> tuple[str, list[str], str, str, str, str]
     town = rest[-1][1][-1] if rest else ""
     if not rest and len(street) > 2:
         street, town = street[:-1], street[-1]
-    return house, street[:3], town, post, unit, state
+    return house, street, town, post, unit
 
 
 @lru_cache(maxsize=4_096)
@@ -382,20 +332,20 @@ def country_code(text: str | None) -> str:
     return "" if low in PLACEHOLDERS else _country_of.get(low, low)
 
 
-def name_code(text: str | None) -> str:
+def name_code(text: str | None, vocabulary: Vocabulary = NOTHING) -> str:
     """Parsed name as ``words|trade|number|given`` in sound form; '' for a missing name."""
-    x = parse_name(text)
-    if x is None or not x[0] and x[1] < 0 and x[2] < 0:
+    x = parse_name(text, vocabulary)
+    if x is None or not x[0] and not x[1] and not x[2]:
         return ""
-    return f"{' '.join(x[0])}|{x[1] if x[1] >= 0 else ''}|{x[2] if x[2] >= 0 else ''}|{x[3] if x[3] >= 0 else ''}"
+    return f"{' '.join(x[0])}|{x[1]}|{x[2]}|{x[3]}"
 
 
-def address_code(text: str | None) -> str:
-    """Parsed address as ``house|street|town|postcode|unit|state`` in sound form; '' for a missing one."""
-    x = parse_address(text)
+def address_code(text: str | None, vocabulary: Vocabulary = NOTHING) -> str:
+    """Parsed address as ``house|street|town|postcode|unit`` in sound form; '' for a missing one."""
+    x = parse_address(text, vocabulary)
     if x is None or not any(x):
         return ""
-    return f"{x[0]}|{' '.join(x[1])}|{x[2]}|{x[3]}|{x[4]}|{x[5]}"
+    return f"{x[0]}|{' '.join(x[1])}|{x[2]}|{x[3]}|{x[4]}"
 
 
 @lru_cache(maxsize=200_000)
@@ -540,8 +490,6 @@ def address_evidence(a: str, b: str) -> tuple[float, int] | None:
             score -= 0.5
         else:
             score, shared = score + 1, shared + 1
-    if x[5] and y[5] and x[5] != y[5]:
-        score -= 1.0
     return score, shared
 
 
