@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,34 +13,6 @@ from pyspark.sql import functions as F
 from tallyweave.llm.arrow import map_rows
 from tallyweave.llm.lookalikes import fold
 
-# Words of advertising and of search bait, English, German, French and Spanish.
-BAIT = """
-buy cheap cheapest discount sale best price prices order deal deals coupon wholesale review reviews online 2024 2025 2026 offer offers bargain promo shop
-kaufen billig guenstig gunstig rabatt angebot angebote preis bestellen versandkostenfrei testsieger gutschein
-acheter soldes prix boutique meilleur avis promotion
-comprar barato oferta ofertas tienda rebajas precio cupon mejor opiniones descuento
-torrent crack serial keygen apk mod hack premium generator unlimited login pdf warez cheats
-"""
-BAIT_PHRASES = """
-near me
-for sale
-top rated
-order now
-free shipping
-best price
-buy now
-pas cher
-en ligne
-code promo
-livraison gratuite
-envio gratis
-en linea
-free download
-full version
-watch online
-no survey
-"""
-
 # Frequent function words of the four languages.
 FUNCTION = """
 the a an of to in on and or is are was were be it its this that these those for from with as at by not no we i you he they but so if then than can may
@@ -50,14 +22,8 @@ le la les un une des du de et ou est sont etait en dans sur pour par pas ne que
 el los las una unos del y es son era no se lo que para por con sin sobre este esta estos todo todos cada hasta nada
 """
 
-_bait = frozenset(BAIT.split())
-_phrases = [p for p in BAIT_PHRASES.strip().split("\n")]
-_joined = {p: p.replace(" ", "") for p in _phrases}
 _function = frozenset(FUNCTION.split())
-_keywords = _bait | frozenset(_joined.values())
-_prefixes = tuple(sorted((k for k in _keywords if len(k) > 3 or k in ("buy", "mod", "apk", "pdf")), key=len, reverse=True))
 
-_phrase = re.compile(r"\b(?:" + "|".join(_phrases) + r")\b")
 _url = re.compile(r"(?:https?|ftp|rsync)\s?[:：]\s?//[^\s\"'<>\])|]+", re.I)
 _bare_host = re.compile(r"\b(?:[a-z0-9-]+\.)+(?:invalid|example|test|com|net|org|info|biz|shop|online|ru|de|fr|es)\b(?:/\S*)?")
 _arrow_host = re.compile(r">>\s*((?:[a-z0-9-]+\.)+[a-z]{3,}\S*)")
@@ -66,23 +32,34 @@ _tag_label = re.compile(r"^\W*[a-z0-9]+\s?:\s")
 _span_tag = re.compile(r"<span class=\"?tag\"?>([^<]*)</span>")
 _content = re.compile(r"<meta[^>]*content=\"([^\"]*)\"?[^>]*>?|<[^>]*>")
 _own_use = re.compile(r"<loc>|\"resolved\"|\"integrity\"|\[!\[|\[[ x]\]|\(#\d+\)|\[#\d+\]|(?:ftp|rsync)://|refs?/|badge")
-_word = re.compile(r"[a-z]+|20\d\d")
+_word = re.compile(r"[a-z]{2,}")
 _leet_token = re.compile(r"\b(?=[\w]*[a-z])(?=[\w]*[01345])[a-z01345]{3,}\b")
 _leet = str.maketrans("01345", "oieas")
 _code = re.compile(r"[{}=;()\[\]\"`]|\b\w+_\w+\b|->|::")
 _header = ("commit ", "author:", "date:", "from ", "from:", "subject:", "authordate:", "index ", "---", "+++", "@@", "mime-", "content-", "message-id")
+_owners = re.compile(r"\S+(?:\s+@[\w/-]+)+")
 _hex_slug = re.compile(r"/[0-9a-f]{5,}(?:[/?.]|$)")
 _numbered = re.compile(r"\(\d+\)")
-_bare_list = re.compile(r"[a-z ,|.#*!★•-]+")
-
-#: Least words of filler, share of bait among them, share of the part, and recurrence or autocorrelation of a stuffed part.
-WORDS, BAIT_SHARE, PART_SHARE, RECURRENCE, CORRELATION = 20, 0.25, 0.5, 0.3, 0.12
-#: Least words of a list without bait, its most distinct words a word, least recurrence and autocorrelation.
-LIST_WORDS, LIST_DISTINCT, LIST_RECURRENCE, LIST_CORRELATION = 30, 0.33, 0.5, 0.12
-#: Least links of a link list, share of the part, and share of links that advertise or lead to random pages.
-LINKS, LINK_SHARE, ADVERTISING = 6, 0.5, 0.2
-#: Lags of the positional autocorrelation, and equal positions below which one is chance.
-LAGS, MATCHES = 64, 5
+# Words of links that name no page.
+_no_page = frozenset("html htm php index id".split())
+
+#: Least words of a list, and the part of its text that lists and links must hold.
+WORDS, PART_SHARE = 20, 0.5
+#: Share of function words from which a line is a sentence, and of code marks a word from which it is code.
+SENTENCE, CODE = 0.15, 0.1
+#: Least regularity of a list, see :func:`regularity`.
+REGULAR = -0.13
+#: Part of a list's text from which links make it a link list, least links, distinct hosts a link, and pages without words a link.
+LINK_SHARE, LINKS, HOSTS, RANDOM = 0.4, 6, 0.7, 0.5
+#: Distinct pages a link up to which many hosts offer the same, as mirrors do.
+MIRROR = 0.25
+#: Share of function words in link lines from which the links are described by sentences, and least share of regularly
+#: recurring words of a link list without, less half the share of distinct ones.
+DESCRIBED, LINK_REGULAR = 0.05, -0.46
+#: Least recurrences of a term, gap that is short, spread of gaps that is even, and equal positions below which a lag is chance.
+TIMES, SHORT_GAP, EVEN, MATCHES = 4, 16, 0.6, 5
+#: Lags at which all equal positions are counted.
+LAGS = 128
 
 
 def parts(text: str) -> tuple[list[str], list[str], list[str]]:
@@ -110,57 +87,68 @@ def plain_words(line: str) -> str:
     return _leet_token.sub(lambda m: m.group().translate(_leet), line)
 
 
-def _tag_words(tag: str) -> list[str]:
-    words = [w for w in re.split(r"[-_\W]+", tag) if w]
-    out = []
-    for w in words if len(words) > 1 else [tag]:
-        k = next((k for k in _prefixes if w.startswith(k)), None)
-        out += [k, w[len(k) :]] if k and len(w) > len(k) else [w]
-    joined = "".join(words[:2])
-    if len(words) > 2 and joined in _keywords:
-        out = [joined, *words[2:]]
-    return [w for w in out if w]
+def tag_words(tags: list[str]) -> list[str]:
+    """Words of the tags of a line: parted at marks, and joined ones by words that other tags show apart."""
+    split = [[w for w in re.split(r"[-_\W]+", plain_words(t)) if w] for t in tags]
+    known = sorted({w for p in split if len(p) > 1 for w in p if len(w) > 2}, key=lambda w: (-len(w), w))
+    out: list[str] = []
+    for p in split:
+        if len(p) == 1:
+            w = p[0]
+            k = next((k for k in known if w != k and (w.endswith(k) or w.startswith(k))), None)
+            if k:
+                p = [w[: -len(k)], k] if w.endswith(k) else [k, w[len(k) :]]
+        out += p
+    return out
 
 
 def recurrence(words: list[str]) -> tuple[float, float]:
-    """``(share, correlation)``: of words in terms that recur at least four times in gaps shorter than chance
-    or of even length, and the greatest positional autocorrelation over the lag windows."""
+    """``(share, correlation)``: of words in terms that recur often in gaps shorter than chance or of even length, and
+    the greatest share of positions that meet their term again at one and the same lag, over windows of every lag."""
     n = len(words)
     where: dict[str, list[int]] = {}
     for k, w in enumerate(words):
         where.setdefault(w, []).append(k)
     regular = 0
+    lags = np.zeros(n + 1, dtype=np.int64)
     for at in where.values():
-        if len(at) >= 4:
+        if len(at) > 1:
             gaps = np.diff(at)
-            if np.median(gaps) <= 16 or gaps.std() <= 0.6 * gaps.mean():
+            np.add.at(lags, gaps, 1)
+            if len(at) >= TIMES and (np.median(gaps) <= SHORT_GAP or gaps.std() <= EVEN * gaps.mean()):
                 regular += len(at)
+    # Short lags count every equal position, longer ones those that meet their term there for the first time.
     number = {w: k for k, w in enumerate(where)}
     codes = np.array([number[w] for w in words])
-    lags = range(1, min(LAGS, n // 2) + 1)
-    equal = [codes[lag:] == codes[:-lag] for lag in lags]
-    peak = max((float(x.mean()) for x in equal if x.sum() >= MATCHES), default=0.0)
-    return regular / n, peak
+    for lag in range(1, min(LAGS, n // 2) + 1):
+        lags[lag] = np.count_nonzero(codes[lag:] == codes[:-lag])
+    lags[lags < MATCHES] = 0
+    window = lags[: n // 2 + 1]
+    peak = float((window / (n - np.arange(len(window)))).max()) if n else 0.0
+    return regular / max(n, 1), peak
+
+
+def regularity(words: list[str]) -> float:
+    """How much more regularly the words of a list recur than those of any list of its length: regular share and a quarter
+    of the autocorrelation, less the share of distinct words and what longer lists repeat by chance."""
+    share, peak = recurrence(words)
+    return share + 0.25 * peak - len(set(words)) / len(words) - 0.2 * math.log(len(words) / 50)
 
 
 def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) -> bool:
     """Whether the lines of one part of a document are for the most part filler.
 
-    Every line is prose (function words), code, a list without bait, a keyword
-    line (bait, hardly a function word) or a link line. Keyword lines make the
-    part filler if they outweigh prose and code and their terms recur regularly,
-    lists without bait if they are few words recurring all over;
-    link lines do if they outweigh the rest and advertise, or lead to random pages
-    of many hosts. Links in the forms a project keeps for itself (sitemaps, lock
-    files, badges, tasks, changelogs, mirrors, replaced links) count as own text.
+    Every line is a sentence (function words), code, a line of tags, a line of links or
+    one of a list. Where lists, tags and links outweigh the rest, their words decide: a
+    list is filler if its terms recur more regularly than those of any text, a link list
+    also if it leads to pages without words on many hosts. Links in the forms a project
+    keeps for itself (sitemaps, lock files, badges, tasks, changelogs, owners, one path on many mirrors, replaced links) count as own text.
     """
     words: list[str] = []
-    bait = 0
-    filler = prose = own = link = 0
-    links = advertising = random_pages = 0
+    listed = linked = other = 0
+    links = random_pages = described = named = 0
     hosts: set[str] = set()
-    listed: list[str] = []
-    listed_size = idle = 0
+    pages: set[str] = set()
     for line in lines:
         low = fold(line).strip()
         if not low:
@@ -172,86 +160,57 @@ def is_filler(lines: list[str], removed_hosts: frozenset[str] = frozenset()) ->
             if len(single) > 0.8 * len(items):
                 tags = single
         if len(tags) >= 3:
-            found = [w for t in tags for w in _tag_words(plain_words(t))]
-            hits = sum(w in _keywords for w in found)
-            if hits >= 0.2 * len(tags):
-                words += found
-                bait += hits
-                filler += len(low)
-                continue
+            words += tag_words(tags)
+            listed += len(low)
+            continue
         urls = _url.findall(low) if "//" in low else []
         if ">>" in low and not urls:
             urls = ["//" + h for h in _arrow_host.findall(low)]
-        bare = low
-        if urls:
-            bare = _url.sub(" ", bare)
+        bare = _url.sub(" ", low) if urls else low
         if "<" in bare:
             bare = _content.sub(lambda m: " " + (m.group(1) or "") + " ", bare)
         if "." in bare:
             bare = _bare_host.sub(" ", bare)
-        bare = _phrase.sub(lambda m: _joined[m.group()], plain_words(bare))
+        bare = plain_words(bare)
         found = _word.findall(bare)
-        hits = sum(w in _keywords for w in found)
         plain = sum(w in _function for w in found)
         if urls:
-            if _own_use.search(low) or plain >= 3 and plain >= 0.2 * len(found):
-                own += len(low)
+            fresh = [u.partition("//")[2] for u in urls]
+            fresh = [u for u in fresh if plain_words(u).partition("/")[0] not in removed_hosts]
+            if not fresh or _own_use.search(low) or plain >= 3 and plain >= 0.2 * len(found):
+                other += len(low)
                 continue
-            fresh = 0
-            for u in urls:
-                host, _, page = plain_words(u).partition("//")[2].partition("/")
-                if host in removed_hosts:
-                    continue
-                fresh += 1
-                hosts.add(host)
-                slug = _word.findall(_phrase.sub(lambda m: _joined[m.group()], re.sub(r"[-_/.]", " ", page)))
-                if any(w in _keywords for w in slug):
-                    advertising += 1
-                elif _hex_slug.search("/" + u.partition("//")[2].partition("/")[2]):
-                    random_pages += 1
-            if not fresh:
-                own += len(low)
-                continue
-            links += fresh
-            advertising += min(hits, fresh)
-            link += len(low)
-            words += [w for w in found if len(w) > 2]
-            bait += hits
-            continue
-        if not found:
-            continue
-        if not plain and len(found) > 1 and _bare_list.fullmatch(low):
-            listed += found
-            listed_size += len(low)
-            idle += 0 if hits else len(low)
-        code = len(_code.findall(_numbered.sub(" ", bare)))
-        if code >= 2 and code > 0.1 * len(found):
-            own += len(low)
-        elif hits >= 0.2 * len(found) and hits and plain <= 0.15 * len(found):
-            filler += len(low)
+            links += len(fresh)
+            linked += len(low)
+            described += plain
+            named += len(fresh) if found else 0
             words += found
-            bait += hits
-        elif plain or len(found) > 3:
-            prose += len(low)
-        elif filler or link:
-            filler += len(low) // 2
-            words += found
-        else:
-            prose += len(low)
-    # Lists without function words that draw on few words again and again need no bait.
-    if len(listed) >= LIST_WORDS and len(set(listed)) <= LIST_DISTINCT * len(listed):
-        share, peak = recurrence(listed)
-        if share >= LIST_RECURRENCE and peak >= LIST_CORRELATION:
-            if listed_size > PART_SHARE * (filler + prose + own):
-                return True
-            filler, prose = filler + idle, max(0, prose - idle)
-    if links >= LINKS and link + filler > LINK_SHARE * (link + filler + prose + own):
-        if advertising >= ADVERTISING * links or random_pages > 0.5 * links and len(hosts) > 0.7 * links:
-            return True
-    if len(words) < WORDS or bait < BAIT_SHARE * len(words) or filler <= PART_SHARE * (filler + prose + own):
+            for u in fresh:
+                host, _, page = plain_words(u).partition("/")
+                slug = [w for w in _word.findall(page) if w not in _no_page]
+                hosts.add(host)
+                pages.add(page)
+                words += slug
+                random_pages += bool(_hex_slug.search("/" + u.partition("/")[2]))
+        elif found:
+            code = len(_code.findall(_numbered.sub(" ", bare)))
+            if code >= 2 and code > CODE * len(found) or plain > SENTENCE * len(found) or _owners.fullmatch(low):
+                other += len(low)
+            else:
+                listed += len(low)
+                words += found
+    if listed + linked <= PART_SHARE * (listed + linked + other):
         return False
-    share, peak = recurrence(words)
-    return share >= RECURRENCE or peak >= CORRELATION or bait >= 0.45 * len(words)
+    if linked > LINK_SHARE * (listed + linked + other):
+        if links < LINKS or len(hosts) < HOSTS * links or len(pages) < MIRROR * links and 2 * named < links:
+            return False
+        if random_pages > RANDOM * links:
+            return True
+        if not words or described > DESCRIBED * len(words):
+            return False
+        share, _ = recurrence(words)
+        return share - 0.5 * len(set(words)) / len(words) >= LINK_REGULAR
+    return len(words) >= WORDS and regularity(words) >= REGULAR
 
 
 def is_stuffed(text: str | None) -> bool:
@@ -276,9 +235,3 @@ def stuffed_pages(documents: DataFrame) -> DataFrame:
 
     picked = documents.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return map_rows(picked, rows, "doc_id long").distinct()
-
-
-def term_statistics(text: str | None) -> Counter:
-    """Counts of the words of message and added lines, for review of a decision."""
-    message, added, _ = parts(text or "")
-    return Counter(w for line in (*message, *added) for w in _word.findall(plain_words(fold(line))))
