@@ -18,9 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.records import FIXED_WORDS, FORM_WORDS, Vocabulary
+from tallyweave.plans.durable import cut
 
 #: Least share and number of the records that hold a frequent word. At most words / SHARE words are frequent, however many records there are.
 SHARE, LEAST = 0.0005, 20
+#: Buckets of word digests; a bucket holds words / BUCKETS of all words by chance, far below SHARE of the records.
+BUCKETS = 65_536
 #: Part of the groups of equal own words holding a word that also hold its substitute, and of its records that hold its companion.
 REPLACED, TOGETHER = 0.5, 0.8
 #: Part of a substitute's records that may hold both words, and least groups that must show a substitution.
@@ -34,28 +37,45 @@ _FROM, _TO = "".join(_accented), "".join(_accented.values())
 
 def words(c: Column) -> Column:
     """Words of two and more Latin letters, without case and accents; other scripts and widths are counted as no words."""
-    return F.regexp_extract_all(F.lower(F.translate(F.coalesce(c, F.lit("")), _FROM, _TO)), F.lit("[a-z]{2,}"), F.lit(0))
+    text = F.coalesce(c, F.lit(""))
+    bare = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, _FROM, _TO)).otherwise(text)
+    return F.regexp_extract_all(F.lower(bare), F.lit("[a-z]{2,}"), F.lit(0))
 
 
-def _frequent(counted: DataFrame, total: int) -> DataFrame:
-    return counted.filter(F.col("n") >= max(LEAST, SHARE * total))
+def _bucket(word: Column, kind: int) -> Column:
+    return F.pmod(F.xxhash64(word, F.lit(kind)), F.lit(BUCKETS)).cast("int")
 
 
-def spread_words(rows: DataFrame, total: int) -> list[str]:
+def full_buckets(rows: DataFrame, columns: list[str], least: float) -> list[int]:
+    """Buckets of word digests with enough words to hold a frequent one; no frequent word is in another.
+
+    Most words are rare, and counting a fixed number of buckets first keeps them out of every shuffle.
+    """
+    of = lambda kind, c: F.transform(F.array_distinct(words(F.col(c))), lambda w: _bucket(w, kind))
+    counted = rows.select(F.explode(F.concat(*(of(k, c) for k, c in enumerate(columns)))).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+    return sorted(r.b for r in counted.filter(F.col("n") >= least).collect())  # at most BUCKETS
+
+
+def _likely(c: str, kind: int, full: list[int]) -> Column:
+    """Distinct words of a column that may be frequent."""
+    return F.filter(F.array_distinct(words(F.col(c))), lambda w: _bucket(w, kind).isin(full))
+
+
+def spread_words(rows: DataFrame, least: float, kind: int, full: list[int]) -> list[str]:
     """Frequent words of addresses that stand with postcodes of many beginnings."""
     post = F.substring(F.regexp_extract("business_address", r"\b(\d{5,6})\b", 1), 1, 2)
-    each = rows.select(post.alias("post"), F.explode(F.array_distinct(words(F.col("business_address")))).alias("word"))
+    each = rows.select(post.alias("post"), F.explode(_likely("business_address", kind, full)).alias("word"))
     by_post = each.groupBy("word", "post").agg(F.count("*").alias("n"))
     counted = by_post.groupBy("word").agg(F.sum("n").alias("n"), F.max(F.when(F.col("post") != "", F.col("n"))).alias("top"), F.sum(F.when(F.col("post") != "", F.col("n"))).alias("placed"))
-    found = _frequent(counted, total).filter((F.col("placed") >= LEAST) & (F.col("top") < LOCAL * F.col("placed"))).select("word").collect()  # at most words / SHARE
+    found = counted.filter((F.col("n") >= least) & (F.col("placed") >= LEAST) & (F.col("top") < LOCAL * F.col("placed"))).select("word").collect()  # at most words / SHARE
     return sorted(r.word for r in found if r.word not in FIXED_WORDS)
 
 
-def name_classes(rows: DataFrame, total: int) -> tuple[dict[str, str], dict[str, str]]:
+def name_classes(rows: DataFrame, least: float, kind: int, full: list[int]) -> tuple[dict[str, str], dict[str, str]]:
     """``(trades, givens)``: class of each frequent word of names, by its smallest word."""
     each = rows.select(words(F.col("business_name")).alias("w"))
-    counted = each.select(F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    frequent = sorted(r.word for r in _frequent(counted, total).select("word").collect() if r.word not in FORM_WORDS)  # at most words / SHARE
+    counted = rows.select(F.explode(_likely("business_name", kind, full)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    frequent = sorted(r.word for r in counted.filter(F.col("n") >= least).select("word").collect() if r.word not in FORM_WORDS)  # at most words / SHARE
     if not frequent:
         return {}, {}
     known = [*frequent, *FORM_WORDS]
@@ -67,6 +87,7 @@ def name_classes(rows: DataFrame, total: int) -> tuple[dict[str, str], dict[str,
     core = F.when(F.size("own") >= 2, F.xxhash64(F.array_sort("own")))
     numbered = lambda c: F.array_distinct(F.transform(F.filter(c, lambda x: x.isin(frequent)), lambda x: F.array_position(list_of, x).cast("int")))
     parts = parts.select(core.alias("core"), (F.size("own") > 0).alias("placed"), numbered("w").alias("g"), numbered("late").alias("late"))
+    parts = cut(parts.filter("core is not null or size(g) > 0"), "name-words")
     # How often each word stands at all, with own words and after them, and with each other word.
     alone = F.transform("g", lambda x: F.struct(x.alias("x"), F.lit(0).alias("y"), F.when(F.col("placed"), 1).otherwise(0).alias("placed"), F.when(F.array_contains("late", x), 1).otherwise(0).alias("late")))
     both = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: y != x), lambda y: F.struct(x.alias("x"), y.alias("y"), F.lit(0).alias("placed"), F.lit(0).alias("late")))))
@@ -120,6 +141,8 @@ def learn(tables: list[DataFrame], names: bool = True, addresses: bool = True) -
     Null and empty texts hold no words; empty tables give an empty vocabulary.
     """
     rows = reduce(DataFrame.unionByName, [t.select(F.col("business_name").cast("string"), F.col("business_address").cast("string")) for t in tables])
-    total = rows.count()
-    trades, givens = name_classes(rows, total) if names else ({}, {})
-    return Vocabulary.of(trades, givens, spread_words(rows, total) if addresses else ())
+    least = max(LEAST, SHARE * rows.count())
+    columns = ["business_name"] * names + ["business_address"] * addresses
+    full = full_buckets(rows, columns, least) if columns else []
+    trades, givens = name_classes(rows, least, 0, full) if names else ({}, {})
+    return Vocabulary.of(trades, givens, spread_words(rows, least, len(columns) - 1, full) if addresses else ())
