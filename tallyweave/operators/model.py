@@ -56,11 +56,13 @@ class PairEnsemble:
         ]
 
     def fit(self, matrix: DataFrame) -> PairEnsemble:
-        counts = matrix.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")).first()
+        held = F.coalesce(F.col("is_val"), F.lit(False)) if "is_val" in matrix.columns else F.lit(False)
+        counts = matrix.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"), F.count_if(held).alias("held"), F.count_if(~held).alias("rest")).first()
         own = F.coalesce("pair_weight", F.lit(1.0)) if "pair_weight" in matrix.columns else F.lit(1.0)
         weighted = matrix.withColumn("weight", own * F.when(F.col("label") == 1, counts.n / max(counts.p, 1)).otherwise(1.0)).withColumn("label", F.col("label").cast("double"))
         columns = features_present(matrix)
-        stages = self._stages("is_val" in matrix.columns)
+        # Without rows on either side there is nothing to stop by.
+        stages = self._stages(counts.held > 0 and counts.rest > 0)
         self.members = []
         if counts.p and counts.n:
             for k, (share, stage) in enumerate(zip(BLEND, stages, strict=True)):
