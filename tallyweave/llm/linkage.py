@@ -92,10 +92,15 @@ def whole_keys(left: DataFrame, right: DataFrame, hot: int = HOT, texts: int = P
     return cold[0].unionByName(placed(hots[0], "parts", "reads")), cold[1].unionByName(placed(hots[1], "reads", "parts"))
 
 
-def whole_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFrame:
-    """Distinct ``(l, r)`` of rows ``(id, keys, house)`` that share a key, without contradictions of hot ones as in :func:`whole_keys`."""
+def shared_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFrame:
+    """``(l, r)`` of rows ``(id, keys, house)`` for each key they share, without contradictions of hot ones as in :func:`whole_keys`."""
     a, b = whole_keys(left, right, hot)
-    return a.withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r").distinct()
+    return a.withColumnRenamed("id", "l").join(b.withColumnRenamed("id", "r"), "key").select("l", "r")
+
+
+def whole_pairs(left: DataFrame, right: DataFrame, hot: int = HOT) -> DataFrame:
+    """Distinct pairs of :func:`shared_pairs`."""
+    return shared_pairs(left, right, hot).distinct()
 
 
 def with_codes(pairs: DataFrame, left: DataFrame, right: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -251,6 +256,28 @@ def same_place(a: str, b: str) -> float | None:
     return share if share >= 0.6 else None
 
 
+def street_letters(a: str) -> tuple[str, str, int, int]:
+    """``(joined, turned, letters, reach)`` of the street of an address code: its words joined, the first one last, its set of letters, and how many
+    letters a street of :func:`records.words_cost` below 1 without an equal word can differ in.
+
+    Such a cost allows as many edits as 1 / 0.7 of the unit of the longest word, or 0.9 of that of the joined
+    words; a swap of letters counts as two. A single letter may stand for any word.
+    """
+    words = records.split_code(a)[1].split()
+    joined = "".join(words)
+    unit = lambda n: max(1.0, 0.3 * n)
+    edits = 10**6 if min(map(len, words), default=1) == 1 else math.floor(max(unit(max(map(len, words))) / 0.7, 0.9 * unit(len(joined))))
+    return joined, "".join(words[1:] + words[:1]), records.letters_of(joined), 2 * edits
+
+
+def _maybe_one_street() -> Column:
+    """Whether the streets of ``l`` and ``r`` may be one, by :func:`street_letters`."""
+    most = F.greatest("l.reach", "r.reach")
+    near = lambda x, y: F.levenshtein(F.col(f"l.{x}"), F.col(f"r.{y}")) <= most
+    few = F.bit_count(F.col("l.letters").bitwiseXOR(F.col("r.letters"))) <= most
+    return few & (near("joined", "joined") | near("joined", "turned") | near("turned", "joined"))
+
+
 def same_address(parsed_rows: DataFrame, left_src: str, right_srcs: str, hot: int = HOT) -> DataFrame:
     """``(l, r)`` of records at one building or plot.
 
@@ -266,15 +293,18 @@ def same_address(parsed_rows: DataFrame, left_src: str, right_srcs: str, hot: in
 
     def tokens(codes, lefts, rights):
         for x in zip(codes, lefts, rights, strict=True):
-            yield (*x, records.place_tokens(x[0]))
+            words, stands = records.place_tokens(x[0])
+            yield (*x, words, stands, *street_letters(x[0]))
 
-    places = cut(map_rows(spread, tokens, "place string, in_left boolean, in_right boolean, tokens array<bigint>"), "places")
-    side = lambda wanted: places.filter(wanted).select(F.col("place").alias("id"), F.col("tokens").alias("keys"), part("place", 1).alias("house"))
-    found = whole_pairs(side("in_left"), side("in_right"), hot)
-    # Another house is another place: such pairs end here, before any text is compared.
+    places = cut(map_rows(spread, tokens, "place string, in_left boolean, in_right boolean, words array<bigint>, stands array<bigint>, joined string, turned string, letters bigint, reach int"), "places")
     number = lambda c: part(c, 1)
+    # Another house is another place, and most that share house and town are on other streets: such pairs end before they are shuffled.
     apart = (number("l") != "") & (number("r") != "") & (number("l") != number("r"))
-    pairs = found.filter((F.col("l") != F.col("r")) & ~apart)
+    by_word = [places.filter(wanted).select(F.col("place").alias("id"), F.col("words").alias("keys"), number("place").alias("house")) for wanted in ("in_left", "in_right")]
+    by_house = [places.filter(wanted).select(F.struct("place", "joined", "turned", "letters", "reach").alias("id"), F.col("stands").alias("keys"), F.lit("").alias("house")) for wanted in ("in_left", "in_right")]
+    one_word = shared_pairs(*by_word, hot).filter((F.col("l") != F.col("r")) & ~apart)
+    one_house = shared_pairs(*by_house, hot).filter((F.col("l.place") != F.col("r.place")) & _maybe_one_street()).select(F.col("l.place").alias("l"), F.col("r.place").alias("r"))
+    pairs = one_word.unionByName(one_house).distinct()
 
     def verified(ls, rs):
         for x, y in zip(ls, rs, strict=True):
