@@ -286,3 +286,33 @@ def test_recall_of_labelled_records_alone(spark):
     labelled = left.join(truth.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_semi")
     some, every = (blocking.blocking_recall(blocking.rule_candidates(d, right), truth).first() for d in (labelled, left))
     assert some == every and some.captured == 5 and labelled.count() == 5
+
+
+def test_packed_retrieval_against_columns_of_terms(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(1, 5))) for _ in range(40)]
+    rows = [(f"S{side}-{k % 70:03d}", rng.choice(["usa", "usa", "india", ""]), " ".join(rng.choices(words, k=rng.randint(0, 6)))) for side, n in ((1, 80), (2, 100)) for k in range(n)]
+    every = spark.createDataFrame(rows, "entity_id string, country_key string, t string")
+    left, right = (every.filter(F.col("entity_id").startswith(s)) for s in ("S1", "S2"))
+    sides = retrieval.both_sides(left, right, F.col("t"))
+    weights = [retrieval.term_weights(sides, terms, cap).withColumn("term", F.concat(F.lit(tag), "term")) for tag, terms, cap in (("c", retrieval.char_wb_grams(F.col("text")), 60), ("w", retrieval.word_grams(F.col("text")), 30))]
+    want = {tuple(r) for r in retrieval.top_by_terms(weights[0].unionByName(weights[1]), 4).select("s1_id", "rank", F.round("score", 7)).collect()}
+    found = lambda **more: retrieval.tfidf_candidates(left, right, F.col("t"), 4, char_terms=60, word_terms=30, **more).select("s1_id", "rank", F.round("score", 7))
+    assert {tuple(r) for r in found().collect()} == want
+    some = spark.createDataFrame([("S1-003",), ("S1-011",)], "entity_id string")
+    assert {tuple(r) for r in found(asked=some).collect()} == {x for x in want if x[0] in ("S1-003", "S1-011")} != set()
+
+
+def test_retrieval_writes_little_more_than_texts(spark):
+    from pathlib import Path
+
+    from tallyweave.plans import durable
+
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(400)]
+    rows = [(f"S{1 + k % 2}-{k:09d}", "usa", " ".join(rng.choices(words, k=9))) for k in range(6000)]
+    every = spark.createDataFrame(rows, "entity_id string, country_key string, t string")
+    before = len(durable._written)
+    retrieval.tfidf_candidates(*(every.filter(F.col("entity_id").startswith(s)) for s in ("S1", "S2")), F.col("t"), 2).count()
+    written = sum(f.stat().st_size for _, path in durable._written[before:] for f in Path(path.removeprefix("file://")).rglob("*.parquet"))
+    assert written < 8 * sum(len(t) for _, _, t in rows)
