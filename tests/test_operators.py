@@ -316,3 +316,13 @@ def test_retrieval_writes_little_more_than_texts(spark):
     retrieval.tfidf_candidates(*(every.filter(F.col("entity_id").startswith(s)) for s in ("S1", "S2")), F.col("t"), 2).count()
     written = sum(f.stat().st_size for _, path in durable._written[before:] for f in Path(path.removeprefix("file://")).rglob("*.parquet"))
     assert written < 8 * sum(len(t) for _, _, t in rows)
+
+
+def test_candidates_of_some_records_are_those_among_all(spark):
+    from tallyweave.plans import pipeline
+
+    left, right = two_sides(spark, 60)
+    every = {tuple(r) for r in pipeline.candidates(left, right, 5).collect()}
+    some = left.select("entity_id").orderBy("entity_id").limit(4)
+    wanted = {r.entity_id for r in some.collect()}
+    assert {tuple(r) for r in pipeline.candidates(left, right, 5, asked=some).collect()} == {x for x in every if x[0] in wanted} != set()
