@@ -74,3 +74,26 @@ def test_jaro_winkler():
 @given(st.text(alphabet="abc é", max_size=40), st.text(alphabet="abc é", max_size=40))
 def test_matching_ratio_equals_the_library(a, b):
     assert S.matching_ratio(a, b) == SequenceMatcher(None, a, b).ratio()
+
+
+@given(st.lists(st.tuples(st.text("ab cé한𝒳", max_size=40), st.text("ab cé한𝒳", max_size=40)), max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_many_ratios_at_once(pairs):
+    pairs = pairs + PAIRS + [("ab" * 120, "ba" * 60), ("abc" * 66, "cba" * 66)]
+    assert S.matching_ratios(pairs).tolist() == [SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+    assert S.distinct_ratios([(None, "a"), ("", "a"), ("a", "a"), *pairs]).tolist()[:3] == [0.0, 0.0, 1.0]
+
+
+def test_ratios_visit_python_once(spark):
+    both = {"there": (F.col("a"), F.col("b")), "back": (F.col("b"), F.col("a"))}
+    rows = frame(spark).select("k", *(c.alias(n) for n, c in S.sequence_ratios(both).items()))
+    want = [tuple(0.0 if not x or not y else SequenceMatcher(None, x, y).ratio() for x, y in ((a, b), (b, a))) for a, b in PAIRS]
+    assert [(r.there, r.back) for r in rows.orderBy("k").collect()] == want
+    evaluated = [x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "ArrowEvalPython" in x]
+    assert len(evaluated) == 1 and evaluated[0].count("each(") == 1
+
+
+def test_weighted_jaccard(spark):
+    side = "struct<words: array<bigint>, idfs: array<double>, total: double>"
+    rows = spark.createDataFrame([(([1, 2], [1.5, 2.0], 3.5), ([3, 2], [4.0, 2.0], 6.0)), (([], [], 0.0), ([], [], 0.0)), (([1], [1.5], 1.5), ([], [], 0.0))], f"a {side}, b {side}")
+    assert [r.v for r in rows.select(S.weighted_jaccard(F.col("a"), F.col("b")).alias("v")).collect()] == [pytest.approx(2.0 / 7.5), 0.0, 0.0]
