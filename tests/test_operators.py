@@ -421,3 +421,20 @@ def test_rows_that_few_records_ask_for(spark):
     assert {r for r in kept if r[1] in wanted} == {r for r in every if r[1] in wanted} and len(kept) < len(every) / 2
     few, plain = ({tuple(r) for r in blocking.rule_candidates(some, right, few=x).collect()} for x in (True, False))
     assert few == plain != set()
+
+
+def test_pseudo_labels_share_records_and_weights(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from tallyweave import catalogue
+
+    made = []
+    monkeypatch.setattr(catalogue, "_both", lambda *_: made.append("records") or [MagicMock(), MagicMock()])
+    monkeypatch.setattr(catalogue, "_weights", lambda *_: made.append("weights") or MagicMock())
+    monkeypatch.setattr(catalogue, "truth", lambda *_: MagicMock())
+    monkeypatch.setattr(catalogue, "cut", lambda df, *_: df)
+    for module in ("blocking", "decide", "features"):
+        monkeypatch.setattr(catalogue, module, MagicMock())
+    monkeypatch.setattr(catalogue.model, "pseudo_label_rounds", lambda *_: (MagicMock(), []))
+    catalogue.pseudo_label_scores(spark, "")
+    assert made == ["records", "weights"]
